@@ -2,21 +2,38 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from .exact_dedup import exact_dedup
+from .license_scan import scan_licenses
+from .lm_scoring import lm_scores
 from .ngram_join import N, THRESHOLD, ngram_jaccard_join
 from .packing import best_fit_packing
+from .piece_coding import encode_pieces
 from .quality_rules import RULES, STOP_WORDS, quality_verdicts
 from .shared import table
+from .token_output import encode_corpus
 from .toxicity import toxicity_scores
+from .warc import CHUNK_BYTES, warc_chunks
+
+
+def _warc(spark, sf_dir):
+    """Chunk rows with the payload in base64, so that the values compare alike in every client."""
+    return warc_chunks(table(spark, sf_dir, "pages")).withColumn("payload", F.translate(F.base64("payload"), "\r\n", ""))
 
 
 def queries() -> dict:
     return {
         "op1_toxicity": lambda s, d: toxicity_scores(table(s, d, "documents"), table(s, d, "labels")),
         "op2_best_fit_packing": lambda s, d: best_fit_packing(table(s, d, "documents")),
+        "op3_warc_chunks": _warc,
         "op4_quality_rules": lambda s, d: quality_verdicts(table(s, d, "documents")),
+        "op5_token_output": lambda s, d: encode_corpus(table(s, d, "documents"))[0],
         "op6_ngram_jaccard_join": lambda s, d: ngram_jaccard_join(table(s, d, "documents")),
+        "op7_license_scan": lambda s, d: scan_licenses(table(s, d, "documents")),
         "op8_exact_dedup": lambda s, d: exact_dedup(table(s, d, "documents")),
+        "op9_piece_coding": lambda s, d: encode_pieces(table(s, d, "documents")),
+        "op10_lm_scoring": lambda s, d: lm_scores(table(s, d, "documents"), table(s, d, "labels").where("quality = 1")),
     }
 
 
@@ -56,8 +73,18 @@ UNION ALL SELECT DISTINCT head AS doc_a, doc_id AS doc_b, 1.0::DOUBLE AS jaccard
 """
 
 
+_WARC_SQL = f"""
+WITH p AS (SELECT '<urn:page:' || coalesce(CAST(page_id AS VARCHAR), '') || '>' AS record_id, url, encode(coalesce(html, '')) AS b FROM pages),
+c AS (SELECT *, octet_length(b) AS size, unnest(range(greatest((octet_length(b) + {CHUNK_BYTES - 1}) // {CHUNK_BYTES}, 1))) AS chunk_no FROM p)
+SELECT record_id, url, chunk_no, chunk_no * {CHUNK_BYTES} AS byte_start, least({CHUNK_BYTES}, size - chunk_no * {CHUNK_BYTES}) AS n_bytes,
+  base64(b[chunk_no * {CHUNK_BYTES} + 1 : (chunk_no + 1) * {CHUNK_BYTES}]) AS payload,
+  sha256(b[1 : (chunk_no + 1) * {CHUNK_BYTES}]) AS digest, (chunk_no + 1) * {CHUNK_BYTES} >= size AS is_last FROM c
+"""
+
+
 def oracle_sql() -> dict:
     return {
+        "op3_warc_chunks": _WARC_SQL,
         "op4_quality_rules": _rules_sql(),
         "op6_ngram_jaccard_join": _JOIN_SQL,
         "op8_exact_dedup": "SELECT min(doc_id) AS doc_id, md5(text) AS text_md5, count(*) AS n_copies FROM documents GROUP BY text",
