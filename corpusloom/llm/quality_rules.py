@@ -10,11 +10,13 @@ A null threshold switches a rule off. Repeated rows get the same verdict each. C
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 STOP_WORDS = "the of and to in is that for it as with was on be by at this are or an die der das und in zu den von mit ist auf für le la les de des et un une est que en du au el los las un una y es que se por con para del do"
-SYMBOLS = "#$%&*<>{}|~^=_@\\\\"
+SYMBOLS = "#$%&*<>{}|~^=_@\\"
 
 #: (rule, metric, comparison that rejects, threshold, words that a text must have for the rule to apply)
 RULES: list[tuple[str, str, str, float | None, int]] = [
@@ -32,32 +34,47 @@ RULES: list[tuple[str, str, str, float | None, int]] = [
 ]
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once, however often ``use`` has it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def _ratio(top: Column, bottom: Column) -> Column:
     return F.when(bottom > 0, F.round(top.cast("double") / bottom.cast("double"), 6)).otherwise(F.lit(0.0))
 
 
-def metric_columns(text: Column) -> dict[str, Column]:
-    """The metrics of one text by name; a null text counts as an empty one."""
+METRICS = ("n_words", "mean_word_length", "symbol_ratio", "shout_ratio", "capital_ratio", "stop_word_ratio", "bullet_line_ratio", "ellipsis_line_ratio", "duplicate_line_ratio")
+
+
+def verdict(text: Column, rules=None) -> Column:
+    """A struct of the metrics and ``reason``, each count taken once; a null text counts as an empty one."""
     t = F.coalesce(text, F.lit(""))
-    low = F.lower(t)
-    count = lambda c, p: F.regexp_count(c, F.lit(p)).cast("bigint")
-    words = count(t, r"[^\t\n\x0B\f\r ]+")
-    solid = F.length(F.translate(t, "\t\n\u000b\f\r ", ""))
-    stop = F.array(*[F.lit(w) for w in sorted(set(STOP_WORDS.split()))])
-    stops = F.size(F.filter(F.split(low, r"[^\p{L}]+"), lambda w: F.array_contains(stop, w))).cast("bigint")
-    lines = F.filter(F.split(t, "\n"), lambda x: F.length(F.translate(x, "\t\r ", "")) > 0)
-    n_lines = F.size(lines)
-    return {
-        "n_words": words,
-        "mean_word_length": _ratio(solid, words),
-        "symbol_ratio": _ratio(F.length(t) - F.length(F.translate(t, SYMBOLS.replace("\\\\", "\\"), "")), F.length(t)),
-        "shout_ratio": _ratio(count(t, "!!"), words),
-        "capital_ratio": _ratio(count(t, r"\p{Lu}"), count(t, r"\p{L}")),
-        "stop_word_ratio": _ratio(stops, words),
-        "bullet_line_ratio": _ratio(F.size(F.filter(lines, lambda x: x.rlike("^[\t\r ]*[-*•]"))), n_lines),
-        "ellipsis_line_ratio": _ratio(F.size(F.filter(lines, lambda x: x.endswith("...") | x.endswith("…"))), n_lines),
-        "duplicate_line_ratio": _ratio(n_lines - F.size(F.array_distinct(lines)), n_lines),
-    }
+    count = lambda p: F.regexp_count(t, F.lit(p)).cast("bigint")
+    stop = sorted(set(STOP_WORDS.split()))
+    stops = F.size(F.filter(F.split(F.lower(t), r"[^\p{L}]+"), lambda w: w.isin(stop)))
+    lines = _let(
+        F.filter(F.split(t, "\n"), lambda x: x.rlike("[^\t\r ]")),
+        lambda x: F.struct(
+            F.size(x).alias("n"), F.size(F.array_distinct(x)).alias("distinct"),
+            F.size(F.filter(x, lambda y: y.rlike("^[\t\r ]*[-*•]"))).alias("bullets"), F.size(F.filter(x, lambda y: y.endswith("...") | y.endswith("…"))).alias("dots"),
+        ),
+    )
+    counts = F.struct(
+        count(r"[^\t\n\x0B\f\r ]+").alias("words"), F.length(t).alias("chars"), (F.length(t) - count(r"[\t\n\x0B\f\r ]")).alias("solid"),
+        count("[" + re.escape(SYMBOLS) + "]").alias("symbols"), count("!!").alias("shouts"), count(r"\p{Lu}").alias("capitals"), stops.alias("stops"), lines.alias("lines"),
+    )
+    metrics = _let(counts, lambda c: F.struct(
+        c["words"].alias("n_words"),
+        _ratio(c["solid"], c["words"]).alias("mean_word_length"),
+        _ratio(c["symbols"], c["chars"]).alias("symbol_ratio"),
+        _ratio(c["shouts"], c["words"]).alias("shout_ratio"),
+        _ratio(c["capitals"], c["solid"]).alias("capital_ratio"),
+        _ratio(c["stops"], c["words"]).alias("stop_word_ratio"),
+        _ratio(c["lines"]["bullets"], c["lines"]["n"]).alias("bullet_line_ratio"),
+        _ratio(c["lines"]["dots"], c["lines"]["n"]).alias("ellipsis_line_ratio"),
+        _ratio(c["lines"]["n"] - c["lines"]["distinct"], c["lines"]["n"]).alias("duplicate_line_ratio"),
+    ))
+    return _let(metrics, lambda m: F.struct(*[m[n].alias(n) for n in METRICS], compile_rules(m.__getitem__, rules).alias("reason")))
 
 
 def compile_rules(value, rules=None) -> Column:
@@ -73,13 +90,10 @@ def compile_rules(value, rules=None) -> Column:
 
 def quality_verdicts(docs: DataFrame, rules=None) -> DataFrame:
     """``doc_id``, the metrics, ``reason`` (first broken rule or null) and ``keep``, one row for each input row."""
-    metrics = metric_columns(F.col("text"))
-    measured = docs.select("doc_id", *[c.alias(n) for n, c in metrics.items()])
-    return measured.withColumn("reason", compile_rules(F.col, rules)).withColumn("keep", F.col("reason").isNull())
+    judged = docs.select("doc_id", verdict(F.col("text"), rules).alias("v"))
+    return judged.select("doc_id", *[F.col(f"v.{n}") for n in METRICS], F.col("v.reason"), F.col("v.reason").isNull().alias("keep"))
 
 
 def keep_good(docs: DataFrame, rules=None) -> DataFrame:
     """The documents that break no rule, columns unchanged."""
-    used = {m for _, m, _, t, _ in (RULES if rules is None else rules) if t is not None} | {"n_words"}
-    metrics = {n: c for n, c in metric_columns(F.col("text")).items() if n in used}
-    return docs.where(compile_rules(metrics.__getitem__, rules).isNull())
+    return docs.where(verdict(F.col("text"), rules)["reason"].isNull())

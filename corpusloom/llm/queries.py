@@ -48,11 +48,11 @@ WITH t AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 p AS (SELECT doc_id, t, len(regexp_extract_all(t, '[^\\t\\n\\x0B\\f\\r ]+')) AS n_words,
         length(regexp_replace(t, '[\\t\\n\\x0B\\f\\r ]', '', 'g')) AS solid,
         length(t) - length(regexp_replace(t, '[#$%&*<>{{}}|~^=_@\\\\]', '', 'g')) AS symbols,
-        len(regexp_extract_all(t, '!!')) AS shouts, len(regexp_extract_all(t, '\\p{{Lu}}')) AS capitals, len(regexp_extract_all(t, '\\p{{L}}')) AS letters,
+        len(regexp_extract_all(t, '!!')) AS shouts, len(regexp_extract_all(t, '\\p{{Lu}}')) AS capitals,
         len(list_filter(string_split_regex(lower(t), '[^\\p{{L}}]+'), lambda w: w IN ({stops}))) AS stops,
         list_filter(string_split(t, chr(10)), lambda x: length(regexp_replace(x, '[\\t\\r ]', '', 'g')) > 0) AS lines FROM t),
 m AS (SELECT doc_id, n_words, {ratio('solid', 'n_words')} AS mean_word_length, {ratio('symbols', 'length(t)')} AS symbol_ratio,
-        {ratio('shouts', 'n_words')} AS shout_ratio, {ratio('capitals', 'letters')} AS capital_ratio, {ratio('stops', 'n_words')} AS stop_word_ratio,
+        {ratio('shouts', 'n_words')} AS shout_ratio, {ratio('capitals', 'solid')} AS capital_ratio, {ratio('stops', 'n_words')} AS stop_word_ratio,
         {ratio("len(list_filter(lines, lambda x: regexp_matches(x, '^[\\t\\r ]*[-*•]')))", 'len(lines)')} AS bullet_line_ratio,
         {ratio("len(list_filter(lines, lambda x: suffix(x, '...') OR suffix(x, '…')))", 'len(lines)')} AS ellipsis_line_ratio,
         {ratio('(len(lines) - len(list_distinct(lines)))', 'len(lines)')} AS duplicate_line_ratio FROM p)
