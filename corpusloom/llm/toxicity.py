@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 WINDOW, SAMPLE, ORDINARY_WORDS, LEAST = 32, 4000, 400, 5
-_KNOWN = 400_000
+_KNOWN = 150_000
 
 
 class Codes(dict):
