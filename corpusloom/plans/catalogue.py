@@ -170,7 +170,7 @@ _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 
 @query(
     rf"""WITH e AS (SELECT doc_id, regexp_replace(text, '\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{{2,}}\b', 'email@example.com', 'g') AS t FROM documents),
-m AS (SELECT doc_id, regexp_replace(t, '\b((?:10\.|127\.|192\.168\.|169\.254\.|0\.|172\.(?:1[6-9]|2\d|3[01])\.)(?:{_OCTET}\.){{0,2}}{_OCTET})\b', chr(57344) || '\1' || chr(57345), 'g') AS t FROM e)
+m AS (SELECT doc_id, regexp_replace(t, '\b((?:(?:10|127|0)\.{_OCTET}|192\.168|169\.254|172\.(?:1[6-9]|2\d|3[01]))\.{_OCTET}\.{_OCTET})\b', chr(57344) || '\1' || chr(57345), 'g') AS t FROM e)
 SELECT doc_id, replace(replace(regexp_replace(t, '(^|[^{{}}\w])' || '(?:{_OCTET}\.){{3}}{_OCTET}\b', '\1' || '22.214.171.124', 'g'), chr(57344), ''), chr(57345), '') AS text FROM m""".replace("[^{}\\w]", "[^\\x{E000}\\w]")
 )
 def pii_redact(s, d):
