@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 #: Headings that open the closing sections of an encyclopaedia page (Vietnamese), from the first of which text is cut.
 CLOSING_SECTIONS = ("Liên kết ngoài", "Tham khảo", "Thể loại", "Xem thêm", "Đọc thêm")
 #: Typographic punctuation and its ASCII counterpart, position by position.
-PUNCTUATION = ("，。、„”“«»‘’´：？！（）；–—．～…━〈〉【】％►", ',.,""""""\'\'\':?!();--.~.-<>[]%-')
+PUNCTUATION = ('，。、„”“«»‘’´：？！（）；–—．～…━〈〉【】％►', ',.,"""""\'\'\':?!();--.~.-<>[]%-')
 
 
 def words(text: Column) -> Column:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,57 +25,71 @@ def _chars(parts: Column) -> Column:
     return F.aggregate(parts, F.lit(0).cast("bigint"), lambda a, x: a + F.length(x))
 
 
-def line_repetition(docs: DataFrame) -> DataFrame:
-    """Shares of repeated lines and paragraphs, by number and by characters."""
-    rows = docs.select("doc_id", F.length("text").alias("n"), T.lines(F.col("text")).alias("l"), T.paragraphs(F.col("text")).alias("p"))
-    rows = rows.select("doc_id", "n", "l", "p", F.array_distinct("l").alias("dl"), F.array_distinct("p").alias("dp"))
-    return rows.select(
-        "doc_id",
+def _line_measures() -> list[Column]:
+    return [
         share(F.size("l") - F.size("dl"), F.size("l")).alias("dup_line_frac"),
         share(F.size("p") - F.size("dp"), F.size("p")).alias("dup_para_frac"),
         share(_chars(F.col("l")) - _chars(F.col("dl")), F.col("n")).alias("dup_line_char_frac"),
         share(_chars(F.col("p")) - _chars(F.col("dp")), F.col("n")).alias("dup_para_char_frac"),
-    )
+    ]
 
 
-def _grams(docs: DataFrame, n: int) -> DataFrame:
-    """(doc_id, pos, gram) of every n-gram of words."""
-    w = docs.select("doc_id", T.words(F.col("text")).alias("w")).where(F.size("w") >= n)
-    return w.select("doc_id", "w", F.posexplode(F.transform(F.sequence(F.lit(1), F.size("w") - (n - 1)), lambda i: F.array_join(F.slice(F.col("w"), i, n), " "))).alias("pos", "gram"))
-
-
-def top_ngram_share(docs: DataFrame, n: int) -> DataFrame:
-    """(doc_id, share): characters in the most frequent n-gram (the longest of equals) over all characters."""
-    counts = _grams(docs, n).groupBy("doc_id", "gram").agg(F.count(F.lit(1)).alias("c"))
-    best = counts.groupBy("doc_id").agg(F.max(F.struct("c", F.length("gram").alias("l"))).alias("b"))
-    return best.select("doc_id", F.when(F.col("b.c") > 1, F.col("b.c") * F.col("b.l")).otherwise(0).alias("top"))
+def line_repetition(docs: DataFrame) -> DataFrame:
+    """Shares of repeated lines and paragraphs, by number and by characters."""
+    rows = docs.select("doc_id", F.length("text").alias("n"), T.lines(F.col("text")).alias("l"), T.paragraphs(F.col("text")).alias("p"))
+    rows = rows.select("*", F.array_distinct("l").alias("dl"), F.array_distinct("p").alias("dp"))
+    return rows.select("doc_id", *_line_measures())
 
 
-def repeated_ngram_chars(docs: DataFrame, n: int) -> DataFrame:
-    """(doc_id, dup): characters of the words that any repeated n-gram covers, each word once.
+def ngram_measures(top: tuple[int, ...], dup: tuple[int, ...]):
+    """A vectorised function of a word list: for each n in ``top`` the characters in the most frequent n-gram (the longest
+    of equals; 0 if none repeats), for each n in ``dup`` the characters of the words that repeated n-grams cover.
 
-    One pass over a document's own words: no n-gram leaves the row, so the plan has no shuffle.
+    Nine sizes of n-grams by explode and groupBy would shuffle nine times the corpus; a document's n-grams never leave
+    its row here.
     """
-    w = docs.select("doc_id", T.words(F.col("text")).alias("w"))
-    grams = _grams(docs, n)
-    again = grams.groupBy("doc_id", "gram").agg(F.collect_list("pos").alias("at")).where(F.size("at") > 1)
-    covered = again.select("doc_id", F.explode("at").alias("p")).groupBy("doc_id").agg(F.array_distinct(F.flatten(F.transform(F.collect_list("p"), lambda p: F.sequence(p, p + (n - 1))))).alias("cover"))
-    return w.join(covered, "doc_id").select("doc_id", F.aggregate(F.col("cover"), F.lit(0).cast("bigint"), lambda a, i: a + F.length(F.get(F.col("w"), i))).alias("dup"))
+    fields = ", ".join([f"top_{n}: bigint" for n in top] + [f"dup_{n}: bigint" for n in dup])
+
+    @F.pandas_udf(f"struct<{fields}>")
+    def measures(lists: pd.Series) -> pd.DataFrame:
+        out = []
+        for w in lists:
+            w = list(w)
+            size = [len(x) for x in w]
+            row: list[int] = []
+            for n in top:
+                counts = Counter(zip(*(w[i:] for i in range(n))))
+                most = max(counts.values(), default=0)
+                row.append(0 if most < 2 else most * max(sum(map(len, g)) + n - 1 for g, c in counts.items() if c == most))
+            for n in dup:
+                grams = list(zip(*(w[i:] for i in range(n))))
+                counts = Counter(grams)
+                upto = total = 0
+                if len(counts) < len(grams):
+                    for i, g in enumerate(grams):
+                        if counts[g] > 1:
+                            total += sum(size[max(i, upto) : i + n])
+                            upto = i + n
+                row.append(total)
+            out.append(row)
+        return pd.DataFrame(out, columns=[f"top_{n}" for n in top] + [f"dup_{n}" for n in dup])
+
+    return measures
 
 
 def gopher_repetition(docs: DataFrame, top: tuple = ((2, 0.2), (3, 0.18), (4, 0.16)), dup: tuple = ((5, 0.15), (6, 0.14), (7, 0.13), (8, 0.12), (9, 0.11), (10, 0.1))) -> DataFrame:
-    """All repetition measures and ``keep``."""
-    out = line_repetition(docs)
-    sizes = docs.select("doc_id", F.length("text").alias("_n"), _chars(T.words(F.col("text"))).alias("_w"))
-    out = out.join(sizes, "doc_id")
+    """All repetition measures and ``keep``, in one narrow pass."""
+    rows = docs.select("doc_id", F.length("text").alias("n"), T.lines(F.col("text")).alias("l"), T.paragraphs(F.col("text")).alias("p"), T.words(F.coalesce("text", F.lit(""))).alias("w"))
+    rows = rows.select("*", F.array_distinct("l").alias("dl"), F.array_distinct("p").alias("dp"), _chars(F.col("w")).alias("wc"), ngram_measures(tuple(n for n, _ in top), tuple(n for n, _ in dup))("w").alias("g"))
+    out = rows.select(
+        "doc_id", *_line_measures(),
+        *[share(F.col(f"g.top_{n}"), F.col("n")).alias(f"top_{n}") for n, _ in top],
+        *[share(F.col(f"g.dup_{n}"), F.col("wc")).alias(f"dup_{n}") for n, _ in dup],
+    )
     bad = (F.col("dup_line_frac") > 0.3) | (F.col("dup_para_frac") > 0.3) | (F.col("dup_line_char_frac") > 0.2) | (F.col("dup_para_char_frac") > 0.2)
-    for n, limit in top:
-        out = out.join(top_ngram_share(docs, n), "doc_id", "left").withColumn(f"top_{n}", share(F.coalesce("top", F.lit(0)), F.col("_n"))).drop("top")
-        bad = bad | (F.col(f"top_{n}") > limit)
-    for n, limit in dup:
-        out = out.join(repeated_ngram_chars(docs, n), "doc_id", "left").withColumn(f"dup_{n}", share(F.coalesce("dup", F.lit(0)), F.col("_w"))).drop("dup")
-        bad = bad | (F.col(f"dup_{n}") > limit)
-    return out.drop("_n", "_w").withColumn("keep", ~bad)
+    for name, limit in [(f"top_{n}", x) for n, x in top] + [(f"dup_{n}", x) for n, x in dup]:
+        bad = bad | (F.col(name) > limit)
+    return out.withColumn("keep", ~bad)
 
 
 def gopher_quality(docs: DataFrame, low: int = 50, high: int = 100_000) -> DataFrame:
@@ -127,7 +145,7 @@ def flagged_words(docs: DataFrame, scores: dict[str, int | None], threshold: flo
     nothing; ``'syllables'`` counts its words. Rejected documents stay with probability ``keep_fraction`` by hash.
     """
     low = {w.lower(): 2.0 ** ((s or 3) - 5) * (len(w.split(" ")) - (mode == "as_written")) for w, s in scores.items()}
-    pattern = "|".join(sorted((__import__("re").escape(w).replace("\\ ", " ") for w in low), key=lambda w: (-len(w), w)))
+    pattern = "|".join(sorted((re.escape(w).replace("\\ ", " ") for w in low), key=lambda w: (-len(w), w)))
     found = F.regexp_extract_all(F.lower("text"), F.lit(rf"(?:[^\p{{L}}\p{{N}}_]|^)({pattern})(?:[^\p{{L}}\p{{N}}_]|$)"), F.lit(1))
     weights = F.create_map(*[F.lit(x) for kv in low.items() for x in kv])
     rows = docs.select("doc_id", found.alias("f"), F.size(T.words(F.col("text"))).alias("n"))

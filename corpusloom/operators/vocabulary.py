@@ -48,6 +48,14 @@ def pair_counts(docs: DataFrame, least: int = 1) -> DataFrame:
     return pairs.groupBy(F.col("p.left").alias("left"), F.col("p.right").alias("right")).agg(F.sum("n").alias("n")).where(F.col("n") >= least)
 
 
+def _joiner(a: str, b: str):
+    def joined(acc, x):
+        meets = (F.get(acc, F.size(acc) - 1) == a) & (x == b)
+        return F.when(meets, F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(F.lit(a + b)))).otherwise(F.concat(acc, F.array(x)))
+
+    return joined
+
+
 def train_merges(docs: DataFrame, merges: int, least: int = 2) -> list[tuple[str, str]]:
     """Byte-pair merges over words: a bounded loop of pair counts, the words kept as distributed symbol lists."""
     words = token_counts(docs).select(F.split("token", "").alias("s"), "n")
@@ -61,10 +69,7 @@ def train_merges(docs: DataFrame, merges: int, least: int = 2) -> list[tuple[str
         a, b = best[0]["l"], best[0]["r"]
         out.append((a, b))
 
-        def joined(acc, x, a=a, b=b):
-            meets = (F.get(acc, F.size(acc) - 1) == a) & (x == b)
-            return F.when(meets, F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(F.lit(a + b)))).otherwise(F.concat(acc, F.array(x)))
-
+        joined = _joiner(a, b)
         words = words.select(F.aggregate("s", F.expr("cast(array() as array<string>)"), joined).alias("s"), "n")
     return out
 
@@ -78,4 +83,4 @@ def mean_vector(vectors: DataFrame, by: str) -> DataFrame:
 def blend(vectors: DataFrame, by: str, key: str, t: float = 0.9) -> DataFrame:
     """``key, pos, x``: each vector moved towards the mean of its group, t parts of the mean."""
     rows = vectors.select(key, by, F.posexplode("embedding").alias("pos", "x"))
-    return rows.join(mean_vector(vectors, by), [by, "pos"]).select(key, "pos", F.round(F.lit(t) * F.col("mean") + F.lit(1 - t) * F.col("x").cast("double"), 5).alias("x"))
+    return rows.join(mean_vector(vectors, by), [by, "pos"]).select(key, "pos", (F.round(F.lit(t) * F.col("mean") + F.lit(1 - t) * F.col("x").cast("double"), 5) + F.lit(0.0)).alias("x"))

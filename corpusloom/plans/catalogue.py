@@ -653,7 +653,7 @@ def embed_mean(s, d):
 
 
 @query(
-    "WITH e AS (SELECT vec_id, label, unnest(embedding) AS x, unnest(range(len(embedding))) AS i FROM embeddings), m AS (SELECT label, i, round(avg(CAST(x AS DOUBLE)), 6) AS mean FROM e GROUP BY 1, 2) SELECT vec_id, CAST(i AS INTEGER) AS pos, round(0.9::DOUBLE * mean + (1 - 0.9::DOUBLE) * CAST(x AS DOUBLE), 5) AS x FROM e JOIN m USING (label, i)"
+    "WITH e AS (SELECT vec_id, label, unnest(embedding) AS x, unnest(range(len(embedding))) AS i FROM embeddings), m AS (SELECT label, i, round(avg(CAST(x AS DOUBLE)), 6) AS mean FROM e GROUP BY 1, 2) SELECT vec_id, CAST(i AS INTEGER) AS pos, round(0.9::DOUBLE * mean + (1 - 0.9::DOUBLE) * CAST(x AS DOUBLE), 5) + 0.0::DOUBLE AS x FROM e JOIN m USING (label, i)"
 )
 def embed_blend(s, d):
     return vocabulary.blend(read(s, d, "embeddings"), "label", "vec_id")
