@@ -23,12 +23,15 @@ import math
 from collections import Counter
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .ngram_join import ngram_set
+
 WINDOW, SAMPLE, ORDINARY_WORDS, LEAST = 32, 4000, 400, 5
 _KNOWN = 150_000
 
@@ -88,15 +91,15 @@ class Model:
 
 
 def _unlike(texts: list[str]) -> list[str]:
-    """Leave out texts of which a fifth or more of the 5-grams were seen in earlier ones."""
-    seen: set[int] = set()
+    """Leave out texts of which a fifth or more of the 5-grams were seen in earlier ones (by a bitmap of their hashes)."""
+    seen = np.zeros(1 << 24, np.uint8)
     out = []
     for t in texts:
-        w = t.split()
-        g = {xxhash.xxh64_intdigest(" ".join(w[i : i + 5]).encode("utf-8", "surrogatepass")) for i in range(max(1, len(w) - 4))}
-        if len(g & seen) < 0.2 * len(g):
+        h = ngram_set(t, 5) >> np.uint64(37)
+        at, bit = (h >> np.uint64(3)).astype(np.int64), np.uint8(1) << (h & np.uint64(7)).astype(np.uint8)
+        if np.count_nonzero(seen[at] & bit) < 0.2 * max(1, len(h)):
             out.append(t)
-        seen |= g
+        np.bitwise_or.at(seen, at, bit)
     return out
 
 
@@ -149,12 +152,14 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, window: int
     return fit([tuple(r) for r in kept.select("doc_id", "text", "flag").collect()], window)
 
 
-def _scored(model: Model | None, schema: pa.Schema, at: int):
+def _scored(model: Model | None, at: int):
     def run(batches):
         score = model.scorer() if model else lambda text: (0, 0, 0)
-        for b in batches:
-            got = [score(t) if t else (0, 0, 0) for t in b.column(at).to_pylist()]
-            yield b, got
+        for batch in batches:
+            # a few hundred texts as Python strings at a time
+            for i in range(0, batch.num_rows, 500):
+                b = batch.slice(i, 500)
+                yield b, [score(t) if t else (0, 0, 0) for t in b.column(at).to_pylist()]
 
     return run
 
@@ -162,7 +167,7 @@ def _scored(model: Model | None, schema: pa.Schema, at: int):
 def toxicity_scores(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, window: int = WINDOW) -> DataFrame:
     """``doc_id, distance, n_windows, n_toxic_windows, is_toxic``, a row for each row of ``docs``."""
     model = train(docs, labels, sample, window)
-    scored = _scored(model, None, 1)
+    scored = _scored(model, 1)
 
     def run(batches):
         for b, got in scored(batches):
@@ -178,7 +183,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, wi
 def keep_ordinary(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, window: int = WINDOW) -> DataFrame:
     """The documents that aren't toxic, columns unchanged."""
     model = train(docs, labels, sample, window)
-    scored = _scored(model, None, docs.columns.index("text"))
+    scored = _scored(model, docs.columns.index("text"))
 
     def run(batches):
         for b, got in scored(batches):
