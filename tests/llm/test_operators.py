@@ -95,6 +95,13 @@ def test_ngram_join(docs, threshold, n, per):
     assert got == brute_pairs(threshold, n)
 
 
+@pytest.mark.parametrize("threshold,n,per", [(0.5, 5, 500), (0.3, 1, 2000)])
+def test_ngram_join_of_repeated_batches(docs, threshold, n, per):
+    """Every partition stands twice, so whole batches have the same rows."""
+    got = {(r.doc_a, r.doc_b): r.jaccard for r in ngram_join.ngram_jaccard_join(docs.union(docs), n, threshold, per).collect()}
+    assert got == brute_pairs(threshold, n)
+
+
 def test_one_of_each_group_stays(spark, docs):
     kept = ngram_join.keep_one_each(clashing(docs))
     assert kept.columns == clashing(docs).columns
