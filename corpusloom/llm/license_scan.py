@@ -7,7 +7,7 @@ verifies a region with bounded errors and gives the span.
 
 Within a region the match with fewest edits is taken, the leftmost of several, and the search goes on left and right
 of it; so the spans of one notice never overlap. Where spans of different notices overlap, the one with fewer edits
-stays (the leftmost, then the first by name). Spans are character positions in the original text. White space runs
+stays (the leftmost, then the longest, then the first in the table). Spans are character positions in the original text. White space runs
 count as one blank; case is folded character by character where that keeps the length.
 
 Null and empty texts have no matches. Repeated rows give their matches each. Notices shorter than ``errors`` + 1
@@ -24,10 +24,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ERRORS = 3
+_GNU = "licensed under the GNU {}General Public License, version {}"
 NOTICES = {
     "MIT": "Released under the MIT License",
     "Apache-2.0": "Licensed under the Apache License, Version 2.0",
-    "GPL-3.0": "licensed under the GNU General Public License, version 3",
+    "GPL-3.0": _GNU.format("", "3"),
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0",
     "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0",
     "CC-BY-4.0": "Licensed under CC BY 4.0",
@@ -35,6 +36,22 @@ NOTICES = {
     "MPL-2.0": "subject to the terms of the Mozilla Public License, v. 2.0",
     "ISC": "Permission to use, copy, modify, and/or distribute this software",
     "Unlicense": "free and unencumbered software released into the public domain",
+    "All-Rights-Reserved": "All rights reserved",
+    # kinds and versions within a few edits of those above, so that none is taken for its neighbour
+    **{f"CC-{kind}-{v}": f"Licensed under CC {kind} {v}" for v in ("4.0", "3.0", "2.5", "2.0", "1.0") for kind in ("BY", "BY-SA", "BY-NC", "BY-ND", "BY-NC-SA", "BY-NC-ND")},
+    "CC0-1.0": "Licensed under CC0 1.0",
+    "GPL-2.0": _GNU.format("", "2"),
+    "GPL-1.0": _GNU.format("", "1"),
+    "LGPL-3.0": _GNU.format("Lesser ", "3"),
+    "LGPL-2.1": _GNU.format("Lesser ", "2.1"),
+    "LGPL-2.0": _GNU.format("Lesser ", "2"),
+    "LGPL-2.0-Library": _GNU.format("Library ", "2"),
+    "AGPL-3.0": _GNU.format("Affero ", "3"),
+    "AGPL-1.0": _GNU.format("Affero ", "1"),
+    "Apache-1.1": "Licensed under the Apache License, Version 1.1",
+    "Apache-1.0": "Licensed under the Apache License, Version 1.0",
+    "MPL-1.1": "subject to the terms of the Mozilla Public License, v. 1.1",
+    "MPL-1.0": "subject to the terms of the Mozilla Public License, v. 1.0",
 }
 MATCHES = "doc_id bigint, license string, span_start int, span_end int, n_edits int, matched string"
 _SPACE = re.compile(r"\s+")
@@ -58,6 +75,14 @@ def _folded(text: str) -> tuple[str, list[int] | None]:
     return "".join(out), at
 
 
+def _positions(folded: str, seed: str) -> list[int]:
+    out, at = [], folded.find(seed)
+    while at >= 0:
+        out.append(at)
+        at = folded.find(seed, at + 1)
+    return out
+
+
 class Notice:
     def __init__(self, name: str, text: str, errors: int):
         self.name, self.text, self.errors = name, _SPACE.sub(" ", text.lower()).strip(), errors
@@ -67,13 +92,14 @@ class Notice:
         self.seeds = [(a, self.text[a:b]) for a, b in zip(cuts, cuts[1:])]
         self.pattern = regex.compile(f"(?b)(?:{regex.escape(self.text, special_only=True)}){{e<={errors}}}")
 
-    def regions(self, folded: str) -> list[tuple[int, int]]:
+    def regions(self, folded: str, hits: dict[str, list[int]] | None = None) -> list[tuple[int, int]]:
+        """Where a match may be; ``hits`` keeps the seeds' positions in this text for notices that have the same ones."""
+        hits = {} if hits is None else hits
         found = []
         for a, seed in self.seeds:
-            at = folded.find(seed)
-            while at >= 0:
-                found.append((max(0, at - a - self.errors), min(len(folded), at - a + len(self.text) + self.errors)))
-                at = folded.find(seed, at + 1)
+            if seed not in hits:
+                hits[seed] = _positions(folded, seed)
+            found += [(max(0, at - a - self.errors), min(len(folded), at - a + len(self.text) + self.errors)) for at in hits[seed]]
         found.sort()
         merged: list[tuple[int, int]] = []
         for a, b in found:
@@ -103,13 +129,15 @@ def find_notices(text: str | None, notices: list[Notice]) -> list[tuple[str, int
         return []
     folded, at = _folded(text)
     out = []
+    hits: dict[str, list[int]] = {}
+    order = {n.name: i for i, n in enumerate(notices)}
     for n in notices:
-        for a, b in n.regions(folded):
+        for a, b in n.regions(folded, hits):
             for s, e, edits in n.spans(folded, a, b):
                 x, y = (s, e) if at is None else (at[s], at[e - 1] + 1)
                 out.append((n.name, x, y, edits, text[x:y]))
     taken: list[tuple[str, int, int, int, str]] = []
-    for m in sorted(out, key=lambda m: (m[3], m[1], m[0])):
+    for m in sorted(out, key=lambda m: (m[3], m[1], -m[2], order[m[0]])):
         if all(m[2] <= t[1] or m[1] >= t[2] for t in taken):
             taken.append(m)
     return sorted(taken, key=lambda m: (m[1], m[2], m[0]))

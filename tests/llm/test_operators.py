@@ -331,6 +331,16 @@ def test_license_scan(spark, docs):
         license_scan.scan_licenses(df, {"x": "abc"})
 
 
+def test_each_licence_line_gets_its_own_name(spark):
+    lines = {k: f"{v}." for k, v in license_scan.NOTICES.items()}
+    named = ["All-Rights-Reserved", "CC-BY-ND-4.0", "CC-BY-NC-SA-4.0", "CC-BY-NC-ND-4.0", "CC-BY-3.0", "CC0-1.0", "GPL-2.0", "LGPL-2.0", "LGPL-2.1", "LGPL-3.0", "Apache-1.1", "MPL-1.1"]
+    assert set(named) <= set(lines)
+    keys = list(lines)
+    df = spark.createDataFrame([(i, f"Some words.\nThis work is {lines[k]}\nMore words") for i, k in enumerate(keys)], "doc_id bigint, text string")
+    got = sorted((r.doc_id, r.license, r.n_edits) for r in license_scan.scan_licenses(df).collect())
+    assert got == [(i, k, 0) for i, k in enumerate(keys)]
+
+
 def test_piece_coding(spark, docs):
     import sentencepiece
 
