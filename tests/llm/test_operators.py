@@ -187,6 +187,24 @@ def test_packing_solver():
         assert sum(n for _, n in fixed) + optimum(rest, c) == optimum(items, c)
 
 
+def test_reduction_goes_on_past_an_irreducible_item():
+    # beside 7 three items fit and none fills the window, so it has no dominating set; 6 and 4 do fill one
+    assert packing.reduce_instance({7: 1, 6: 1, 4: 1, 1: 4}, 10) == ([((6, 4), 1)], {7: 1, 1: 4})
+    rng = random.Random(5)
+    for _ in range(300):
+        c = rng.choice([12, 30, 100])
+        counts = Counter(rng.randrange(1, c) for _ in range(rng.randrange(1, 60)))
+        fixed, left = packing.reduce_instance(counts, c)
+        used = Counter(left)
+        for content, n in fixed:
+            assert sum(content) <= c
+            for s in content:
+                used[s] += n
+        assert used == counts
+        # no item that is left has a partner which fills its window
+        assert not any(c - s in left and (s != c - s or left[s] > 1) for s in left)
+
+
 @pytest.mark.parametrize("capacity", [16, 2048])
 def test_packing(spark, docs, capacity):
     got = packing.best_fit_packing(clashing(docs), capacity, 3).collect()
