@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from .exact_dedup import exact_dedup
 from .license_scan import scan_licenses
 from .lm_scoring import lm_scores
-from .ngram_join import N, THRESHOLD, ngram_jaccard_join
+from .ngram_join import N, THRESHOLD, equal_sets, ngram_jaccard_join
 from .packing import best_fit_packing
 from .piece_coding import encode_pieces
 from .quality_rules import RULES, STOP_WORDS, quality_verdicts
@@ -30,6 +30,7 @@ def queries() -> dict:
         "op4_quality_rules": lambda s, d: quality_verdicts(table(s, d, "documents")),
         "op5_token_output": lambda s, d: encode_corpus(table(s, d, "documents"))[0],
         "op6_ngram_jaccard_join": lambda s, d: ngram_jaccard_join(table(s, d, "documents")),
+        "op6_ngram_equal_sets": lambda s, d: equal_sets(table(s, d, "documents")),
         "op7_license_scan": lambda s, d: scan_licenses(table(s, d, "documents")),
         "op8_exact_dedup": lambda s, d: exact_dedup(table(s, d, "documents")),
         "op9_piece_coding": lambda s, d: encode_pieces(table(s, d, "documents")),
@@ -73,6 +74,14 @@ UNION ALL SELECT DISTINCT head AS doc_a, doc_id AS doc_b, 1.0::DOUBLE AS jaccard
 """
 
 
+_EQUAL_SQL = f"""
+WITH w AS (SELECT doc_id, list_filter(string_split_regex(lower(text), '[\\x00-\\x20]+'), lambda x: x <> '') AS w FROM documents WHERE text IS NOT NULL AND doc_id IS NOT NULL),
+s AS (SELECT doc_id, list_sort(list_distinct(list_transform(range(greatest(len(w) - {N} + 1, 1)), lambda i: array_to_string(w[i + 1 : i + {N}], ' ')))) AS g FROM w WHERE len(w) > 0),
+k AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY g) AS speaker, max(doc_id) OVER (PARTITION BY g) AS last FROM s)
+SELECT DISTINCT doc_id, speaker FROM k WHERE speaker < last
+"""
+
+
 _WARC_SQL = f"""
 WITH p AS (SELECT '<urn:page:' || coalesce(CAST(page_id AS VARCHAR), '') || '>' AS record_id, url, encode(coalesce(html, '')) AS b FROM pages),
 c AS (SELECT *, octet_length(b) AS size, unnest(range(greatest((octet_length(b) + {CHUNK_BYTES - 1}) // {CHUNK_BYTES}, 1))) AS chunk_no FROM p)
@@ -87,5 +96,6 @@ def oracle_sql() -> dict:
         "op3_warc_chunks": _WARC_SQL,
         "op4_quality_rules": _rules_sql(),
         "op6_ngram_jaccard_join": _JOIN_SQL,
+        "op6_ngram_equal_sets": _EQUAL_SQL,
         "op8_exact_dedup": "SELECT min(doc_id) AS doc_id, md5(text) AS text_md5, count(*) AS n_copies FROM documents GROUP BY text",
     }

@@ -102,6 +102,20 @@ def test_ngram_join_of_repeated_batches(docs, threshold, n, per):
     assert got == brute_pairs(threshold, n)
 
 
+def test_every_pair_can_be_had_from_the_equal_sets(docs):
+    sets = {}
+    for i, t, *_ in rows():
+        if t is not None and i is not None and t.split():
+            w = t.lower().split()
+            k = min(5, len(w))
+            sets[i] = frozenset(tuple(w[j : j + k]) for j in range(len(w) - k + 1))
+    want = {(a, b): round(len(s & t) / len(s | t), 6) for a, s in sets.items() for b, t in sets.items() if a < b and len(s & t) >= 0.5 * len(s | t)}
+    groups = ngram_join.equal_sets(docs)
+    assert sorted((r.doc_id, r.speaker) for r in groups.collect()) == [(i, 200) for i in range(200, 204)]
+    got = ngram_join.all_pairs(ngram_join.ngram_jaccard_join(docs), groups)
+    assert {(r.doc_a, r.doc_b): r.jaccard for r in got.collect()} == want
+
+
 def test_one_of_each_group_stays(spark, docs):
     kept = ngram_join.keep_one_each(clashing(docs))
     assert kept.columns == clashing(docs).columns
