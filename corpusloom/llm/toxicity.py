@@ -2,14 +2,15 @@
 
 Two zstandard dictionaries are trained on labelled documents: one on ordinary text, one on toxic text. Both hold the
 same ordinary vocabulary; the toxic one also holds the words that are over-represented in toxic documents. A window of
-``window`` words is compressed with either; the bytes that the toxic dictionary saves are the window's distance. Text
+``window`` words is compressed with either; the bytes that the toxic dictionary saves are the window's distance. Windows
+are disjoint blocks, so a passage across a border is shared out between two windows and its distance falls. Text
 is compressed as a sequence of word codes (hashes of the word's first four and first five letters and of the whole
 word), so that a match means a word or its stem, never a syllable that happens to occur inside another word.
 
 The threshold on a document's largest window distance is calibrated on labelled documents that training didn't see:
 the cut with the best F1, midway where several cuts are equally good. ``sample`` bounds the labelled documents of
 each class used for fitting; those with the smallest hash of their doc_id are taken, near copies among them count
-once. Scoring covers every window of every document.
+once. Scoring covers every block of every document, the last, shorter one included.
 
 Null and empty texts have no windows, score 0 and aren't toxic. With fewer than ``LEAST`` documents of either class
 nothing can be trained: all scores are 0 and nothing is toxic. Repeated rows get the same score each; a doc_id that is
