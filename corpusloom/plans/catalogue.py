@@ -11,6 +11,7 @@ from ..functions import text as T
 from ..operators import dedup, filters, mixing, stats, vocabulary
 from ..operators.ordering import with_row_number
 from ..sources import files
+from ..sources.shared import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -435,7 +436,7 @@ def minhash_signature(s, d):
 
 @query(f"WITH {_SIG}, {_BANDS}, {_CAND} SELECT * FROM cand")
 def minhash_candidates(s, d):
-    return dedup.candidates(dedup.materialized(dedup.minhash(read(s, d, "documents"))))
+    return dedup.candidates(stored(dedup.minhash(read(s, d, "documents")), "signatures"))
 
 
 @query(f"WITH {_SIG}, {_BANDS}, {_CAND}, {_NEAR} SELECT * FROM near")

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.ordering import with_row_number
+from .shared import fresh_path
 
 DOCUMENT = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
@@ -55,22 +54,8 @@ def write_parquet(df: DataFrame, path: str, by: str | None = None) -> None:
     (w.partitionBy(by) if by else w).parquet(path)
 
 
-def shared_path(spark: SparkSession, name: str) -> str:
-    place = spark.conf.get("spark.checkpoint.dir", None)
-    if not place:
-        import tempfile
-
-        place = "file://" + tempfile.mkdtemp(prefix="corpusloom-")
-        spark.conf.set("spark.checkpoint.dir", place)
-    path = f"{place}/{name}-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
-    return path
-
-
 def jsonl_roundtrip(df: DataFrame) -> DataFrame:
-    path = shared_path(df.sparkSession, "jsonl")
+    path = fresh_path(df.sparkSession, "jsonl")
     write_jsonl(df, path)
     return read_jsonl(df.sparkSession, path)
 
@@ -97,7 +82,7 @@ def shard_plan(df: DataFrame, shard_bytes: int = 100_000_000) -> DataFrame:
 
 def reshard(df: DataFrame, n: int) -> DataFrame:
     """Rewrite as ``n`` gzipped JSON files and read them back."""
-    path = shared_path(df.sparkSession, "reshard")
+    path = fresh_path(df.sparkSession, "reshard")
     write_jsonl(df, path, n)
     return read_jsonl(df.sparkSession, path)
 
