@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from .exact_dedup import exact_dedup
 from .license_scan import scan_licenses
 from .lm_scoring import lm_scores
-from .ngram_join import N, THRESHOLD, equal_sets, ngram_jaccard_join
+from .ngram_join import N, THRESHOLD, ngram_jaccard_join
 from .packing import best_fit_packing
 from .piece_coding import encode_pieces
 from .quality_rules import RULES, STOP_WORDS, quality_verdicts
@@ -30,7 +30,6 @@ def queries() -> dict:
         "op4_quality_rules": lambda s, d: quality_verdicts(table(s, d, "documents")),
         "op5_token_output": lambda s, d: encode_corpus(table(s, d, "documents"))[0],
         "op6_ngram_jaccard_join": lambda s, d: ngram_jaccard_join(table(s, d, "documents")),
-        "op6_ngram_equal_sets": lambda s, d: equal_sets(table(s, d, "documents")),
         "op7_license_scan": lambda s, d: scan_licenses(table(s, d, "documents")),
         "op8_exact_dedup": lambda s, d: exact_dedup(table(s, d, "documents")),
         "op9_piece_coding": lambda s, d: encode_pieces(table(s, d, "documents")),
@@ -64,21 +63,16 @@ SELECT *, reason IS NULL AS keep FROM (SELECT *, CASE
 
 
 _JOIN_SQL = f"""
-WITH w AS (SELECT doc_id, list_filter(string_split_regex(lower(text), '[\\x00-\\x20]+'), lambda x: x <> '') AS w FROM documents WHERE text IS NOT NULL AND doc_id IS NOT NULL),
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split_regex(lower(text), '[\\x00-\\x20]+'), lambda x: x <> '') AS w FROM documents WHERE text IS NOT NULL AND doc_id IS NOT NULL),
 s AS (SELECT doc_id, list_sort(list_distinct(list_transform(range(greatest(len(w) - {N} + 1, 1)), lambda i: array_to_string(w[i + 1 : i + {N}], ' ')))) AS g FROM w WHERE len(w) > 0),
-k AS (SELECT doc_id, g, min(doc_id) OVER (PARTITION BY g) AS head FROM s),
-u AS (SELECT doc_id, len(g) AS n, unnest(g) AS x FROM k WHERE doc_id = head),
-c AS (SELECT a.doc_id AS doc_a, b.doc_id AS doc_b, a.n AS na, b.n AS nb, count(*) AS c FROM u a JOIN u b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL)
-SELECT doc_a, doc_b, round(c / (na + nb - c), 6) AS jaccard FROM c WHERE c / (na + nb - c) >= {THRESHOLD}
-UNION ALL SELECT DISTINCT head AS doc_a, doc_id AS doc_b, 1.0::DOUBLE AS jaccard FROM k WHERE head < doc_id
-"""
-
-
-_EQUAL_SQL = f"""
-WITH w AS (SELECT doc_id, list_filter(string_split_regex(lower(text), '[\\x00-\\x20]+'), lambda x: x <> '') AS w FROM documents WHERE text IS NOT NULL AND doc_id IS NOT NULL),
-s AS (SELECT doc_id, list_sort(list_distinct(list_transform(range(greatest(len(w) - {N} + 1, 1)), lambda i: array_to_string(w[i + 1 : i + {N}], ' ')))) AS g FROM w WHERE len(w) > 0),
-k AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY g) AS speaker, max(doc_id) OVER (PARTITION BY g) AS last FROM s)
-SELECT DISTINCT doc_id, speaker FROM k WHERE speaker < last
+k AS MATERIALIZED (SELECT doc_id, g, min(doc_id) OVER (PARTITION BY g) AS head, count(*) OVER (PARTITION BY g) AS copies FROM s),
+u AS (SELECT doc_id, copies, len(g) AS n, unnest(g) AS x FROM k WHERE doc_id = head),
+c AS (SELECT a.doc_id AS x, b.doc_id AS y, b.copies AS m, a.n AS nx, b.n AS ny, count(*) AS c FROM u a JOIN u b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY ALL),
+e AS MATERIALIZED (SELECT x, y, m FROM c WHERE c / (nx + ny - c) >= {THRESHOLD}),
+r AS (SELECT DISTINCT x, x AS y FROM e UNION SELECT r.x, e.y FROM r JOIN e ON r.y = e.x),
+l AS (SELECT x, min(y) AS class_id FROM r GROUP BY x), n AS (SELECT x, sum(m) AS n FROM e GROUP BY x)
+SELECT d.doc_id, coalesce(l.class_id, k.head, d.doc_id) AS class_id, CAST(coalesce(n.n, 0) + coalesce(k.copies - 1, 0) AS BIGINT) AS n_links
+FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL) d LEFT JOIN k ON k.doc_id = d.doc_id LEFT JOIN l ON l.x = k.head LEFT JOIN n ON n.x = k.head
 """
 
 
@@ -96,6 +90,5 @@ def oracle_sql() -> dict:
         "op3_warc_chunks": _WARC_SQL,
         "op4_quality_rules": _rules_sql(),
         "op6_ngram_jaccard_join": _JOIN_SQL,
-        "op6_ngram_equal_sets": _EQUAL_SQL,
         "op8_exact_dedup": "SELECT min(doc_id) AS doc_id, md5(text) AS text_md5, count(*) AS n_copies FROM documents GROUP BY text",
     }

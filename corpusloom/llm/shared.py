@@ -2,44 +2,15 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A side of a join is broadcast up to this many rows of a few bytes; beyond it the join shuffles.
-BROADCAST_ROWS = 2_000_000
+from ..sources.shared import fresh_path, shared_dir, stored
 
+__all__ = ["fresh_path", "shared_dir", "stored", "table", "with_sized_broadcast"]
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors see: ``spark.checkpoint.dir``, or a temporary one where that is unset (tests)."""
-    place = spark.conf.get("spark.checkpoint.dir", None)
-    if not place:
-        place = "file://" + tempfile.mkdtemp(prefix="corpusloom-")
-        spark.conf.set("spark.checkpoint.dir", place)
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(place)
-    return place
-
-
-def fresh_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder, removed when the driver's JVM ends."""
-    path = os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
-    return path
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it again, so that later steps start from files that outlive executors."""
-    spark = df.sparkSession
-    path = fresh_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+#: A side of a join is broadcast up to this many rows of a few bytes; beyond it the join shuffles.
+BROADCAST_ROWS = 2_000_000
 
 
 def with_sized_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:

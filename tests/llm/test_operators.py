@@ -66,76 +66,84 @@ def test_drop_copies_with_a_map(spark):
     assert sorted((r.doc_id, r.m) for r in exact_dedup.drop_copies(df).collect()) == [(1, {"k": "w"}), (3, None)]
 
 
-def brute_pairs(threshold, n):
-    sets = defaultdict(list)
-    for i, t, *_ in rows():
-        if t is not None and i is not None and t.split():
-            w = t.lower().split()
+def brute_classes(data, threshold, n):
+    """{doc_id: (class_id, n_links)} by comparing every two documents; doc_ids have one text each."""
+    sets = {}
+    for i, t, *_ in data:
+        if i is not None:
+            w = (t or "").lower().split()
             k = min(n, len(w))
-            sets[i].append(frozenset(tuple(w[j : j + k]) for j in range(len(w) - k + 1)))
-    head, out = {}, {}
+            sets[i] = frozenset(tuple(w[j : j + k]) for j in range(len(w) - k + 1)) if w else frozenset()
+    links, parent = Counter(), {}
+
+    def find(x):
+        while parent.get(x, x) != x:
+            x = parent[x]
+        return x
+
     for i in sorted(sets):
-        for s in sets[i]:
-            head.setdefault(s, i)
-    for i in sets:
-        for s in sets[i]:
-            if head[s] < i:
-                out[head[s], i] = 1.0
-    known = sorted(head.items(), key=lambda x: x[1])
-    for s, a in known:
-        for t, b in known:
-            if a < b and (j := len(s & t) / len(s | t)) >= threshold:
-                out[a, b] = max(out.get((a, b), 0), round(j, 6))
-    return out
+        for j in sorted(sets):
+            s, t = sets[i], sets[j]
+            if i < j and s and len(s & t) / len(s | t) >= threshold:
+                links[i] += 1
+                links[j] += 1
+                x, y = sorted((find(i), find(j)))
+                if x != y:
+                    parent[y] = x
+    return {i: (find(i), links[i]) for i in sets}
+
+
+def classes(df):
+    got = df.collect()
+    assert len(got) == len({r.doc_id for r in got})
+    return {r.doc_id: (r.class_id, r.n_links) for r in got}
 
 
-@pytest.mark.parametrize("threshold,n,per", [(0.5, 5, 500), (0.8, 3, 4_000_000), (0.3, 1, 2000)])
-def test_ngram_join(docs, threshold, n, per):
-    got = {(r.doc_a, r.doc_b): r.jaccard for r in ngram_join.ngram_jaccard_join(docs, n, threshold, per).collect()}
-    assert got == brute_pairs(threshold, n)
+@pytest.mark.parametrize("threshold,n,per,small,block", [(0.5, 5, 500, 64, 512), (0.5, 5, 500, 1, 2), (0.8, 3, 4_000_000, 2, 3), (0.3, 1, 2000, 64, 512), (0.3, 1, 2000, 3, 5)])
+def test_ngram_join(docs, threshold, n, per, small, block):
+    got = ngram_join.ngram_jaccard_join(clashing(docs), n, threshold, per, small, block)
+    assert classes(got) == brute_classes(rows(), threshold, n)
 
 
-@pytest.mark.parametrize("threshold,n,per", [(0.5, 5, 500), (0.3, 1, 2000)])
-def test_ngram_join_of_repeated_batches(docs, threshold, n, per):
+@pytest.mark.parametrize("small", [1, 64])
+def test_ngram_join_of_repeated_batches(docs, small):
     """Every partition stands twice, so whole batches have the same rows."""
-    got = {(r.doc_a, r.doc_b): r.jaccard for r in ngram_join.ngram_jaccard_join(docs.union(docs), n, threshold, per).collect()}
-    assert got == brute_pairs(threshold, n)
+    assert classes(ngram_join.ngram_jaccard_join(docs.union(docs), per_fragment=500, small=small)) == brute_classes(rows(), 0.5, 5)
 
 
-def test_every_pair_can_be_had_from_the_equal_sets(docs):
-    sets = {}
-    for i, t, *_ in rows():
-        if t is not None and i is not None and t.split():
-            w = t.lower().split()
-            k = min(5, len(w))
-            sets[i] = frozenset(tuple(w[j : j + k]) for j in range(len(w) - k + 1))
-    want = {(a, b): round(len(s & t) / len(s | t), 6) for a, s in sets.items() for b, t in sets.items() if a < b and len(s & t) >= 0.5 * len(s | t)}
-    groups = ngram_join.equal_sets(docs)
-    assert sorted((r.doc_id, r.speaker) for r in groups.collect()) == [(i, 200) for i in range(200, 204)]
-    got = ngram_join.all_pairs(ngram_join.ngram_jaccard_join(docs), groups)
-    assert {(r.doc_a, r.doc_b): r.jaccard for r in got.collect()} == want
+def test_ngram_join_of_long_near_copies(spark):
+    rng = random.Random(3)
+    words = [f"w{rng.randrange(1 << 40)}" for _ in range(300_000)]
+    near = [*words[:150_000], "other", *words[150_001:]]
+    data = [(1, " ".join(words)), (2, " ".join(near)), (3, " ".join(words[:140_000]))]
+    sets = [set(ngram_join.ngram_set(t).tolist()) for _, t in data]
+    df = spark.createDataFrame(data, "doc_id bigint, text string").repartition(2)
+    j = len(sets[0] & sets[1]) / len(sets[0] | sets[1])
+    assert len(sets[0]) == 299_996 and round(j, 6) == 0.999967
+    for small in (1, 64):
+        assert classes(ngram_join.ngram_jaccard_join(df, 5, j, small=small)) == {1: (1, 1), 2: (1, 1), 3: (3, 0)}
+        assert classes(ngram_join.ngram_jaccard_join(df, 5, j + 1e-7, small=small)) == {1: (1, 0), 2: (2, 0), 3: (3, 0)}
+
+
+def test_ngram_join_with_several_texts_of_a_doc_id(spark):
+    a, b = "one two three four five six seven", "eins zwei drei vier fuenf sechs sieben"
+    df = spark.createDataFrame([(1, a), (2, b), (3, a), (3, b), (4, "quite another text")], "doc_id bigint, text string")
+    assert classes(ngram_join.ngram_jaccard_join(df)) == {1: (1, 1), 2: (1, 1), 3: (1, 2), 4: (4, 0)}
 
 
 def test_one_of_each_group_stays(spark, docs):
     kept = ngram_join.keep_one_each(clashing(docs))
     assert kept.columns == clashing(docs).columns
-    parent = {}
-
-    def find(x):
-        while parent.get(x, x) != x:
-            x = parent[x]
-        return x
-
-    for a, b in brute_pairs(0.5, 5):
-        a, b = find(a), find(b)
-        parent[max(a, b)] = min(a, b)
-    assert Counter(r.doc_id for r in kept.collect()) == Counter(i for i, *_ in rows() if i is None or find(i) == i)
-    assert ngram_join.keep_one_each(empty(spark)).count() == 0
+    want = brute_classes(rows(), 0.5, 5)
+    assert Counter(r.doc_id for r in kept.collect()) == Counter(i for i, *_ in rows() if i is None or want[i][0] == i)
+    assert ngram_join.keep_one_each(empty(spark)).count() == ngram_join.ngram_jaccard_join(empty(spark)).count() == 0
 
 
 def test_connected_chain(spark):
     pairs = spark.createDataFrame([(i, i + 1) for i in range(20)] + [(50, 51)], "doc_a bigint, doc_b bigint")
-    assert sorted((r.doc_id, r.head) for r in ngram_join.connected(pairs).collect()) == [(i, 0) for i in range(1, 21)] + [(51, 50)]
+    for one_task in (0, 100):
+        assert sorted((r.doc_id, r.head) for r in ngram_join.connected(pairs, one_task).collect()) == [(i, 0) for i in range(1, 21)] + [(51, 50)]
+    assert ngram_join.connected(pairs.where("false")).count() == 0
 
 
 def test_word_hashes_in_blocks(monkeypatch):
