@@ -1,26 +1,33 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained on labelled documents: one on ordinary text, one on toxic text. Both hold the
-same ordinary vocabulary; the toxic one also holds the words that are over-represented in toxic documents. A window of
-``window`` words is compressed with either; the bytes that the toxic dictionary saves are the window's distance. Windows
-are disjoint blocks, so a passage across a border is shared out between two windows and its distance falls. Text
-is compressed as a sequence of word codes (hashes of the word's first four and first five letters and of the whole
-word), so that a match means a word or its stem, never a syllable that happens to occur inside another word.
+Two zstandard dictionaries are trained with zstandard's own trainer on labelled documents: one on ordinary text, one on
+toxic text without the words that ordinary text has as well. Text is given to the trainer and to the compressor as a
+sequence of word codes (the word's 64-bit hash; words are runs of letters, lower-cased), so that a match means a whole
+word, never syllables that happen to occur inside another one. The toxic dictionary is followed by the content of the
+ordinary one, so only toxic words tell the two apart. A window of ``window`` words is compressed with either; the bytes
+that the toxic dictionary saves are the window's distance. Windows are disjoint blocks, so a passage across a border is
+shared out between two windows and its distance falls.
+
+A word is toxic text's own if at least ``SHARE`` of the toxic documents (and three) have it, ``ODDS`` times the share of
+ordinary documents that do. The ordinary dictionary is trained on the ``ORDINARY_WORDS`` most widespread words.
 
 The threshold on a document's largest window distance is calibrated on labelled documents that training didn't see:
 the cut with the best F1, midway where several cuts are equally good. ``sample`` bounds the labelled documents of
-each class used for fitting; those with the smallest hash of their doc_id are taken, near copies among them count
-once. Scoring covers every block of every document, the last, shorter one included.
+each class used for fitting, ``SAMPLE_BYTES`` the text of a class that is sent to the driver: of the documents that have
+a label, those with the smallest hash of their doc_id are taken, near copies among them count once. Scoring covers every
+block of every document, the last, shorter one included.
 
 Null and empty texts have no windows, score 0 and aren't toxic. With fewer than ``LEAST`` documents of either class
 nothing can be trained: all scores are 0 and nothing is toxic. Repeated rows get the same score each; a doc_id that is
-labelled more than once counts as toxic if any label says so. Labels without a document and null labels are ignored.
+labelled more than once counts as toxic if any label says so, one that has several texts stands for its smallest.
+Labels without a document and null labels are ignored and take up no part of the sample.
 Other columns of the input are ignored by :func:`toxicity_scores` and kept by :func:`keep_ordinary`.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
 from dataclasses import dataclass
 
@@ -28,22 +35,23 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .ngram_join import ngram_set
+from .shared import stored
 
-WINDOW, SAMPLE, ORDINARY_WORDS, LEAST = 32, 4000, 400, 5
+WINDOW, SAMPLE, SAMPLE_BYTES, ORDINARY_WORDS, LEAST = 32, 4000, 64_000_000, 400, 5
+ODDS, SHARE = 20, 0.01
 _KNOWN = 150_000
+_WORD = re.compile(r"[^\W\d_]+")
 
 
 class Codes(dict):
     """Word to code, kept up to a bound."""
 
     def __missing__(self, word: str) -> bytes:
-        h = xxhash.xxh64_intdigest
-        raw = word.encode("utf-8", "surrogatepass")
-        code = (h(word[:4].encode("utf-8", "surrogatepass")) & 0xFFFFFF).to_bytes(3, "big") + (h(word[:5].encode("utf-8", "surrogatepass")) & 0xFFFFFF).to_bytes(3, "big") + (h(raw) & 0xFFFFFFFF).to_bytes(4, "big")
+        code = xxhash.xxh64_digest(word.encode("utf-8", "surrogatepass"))
         if len(self) >= _KNOWN:
             self.clear()
         self[word] = code
@@ -51,7 +59,7 @@ class Codes(dict):
 
 
 def _words(text: str) -> list[str]:
-    return text.lower().replace(".", " ").replace(",", " ").split()
+    return _WORD.findall(text.lower())
 
 
 @dataclass
@@ -65,11 +73,12 @@ class Model:
 
     def scorer(self):
         """A function from a text to (largest distance of a window, windows, windows at or above the threshold)."""
+        # tables that hold the whole dictionary: smaller ones overwrite entries, and then the two dictionaries differ on
+        # ordinary words as well
+        log = max(13, len(self.toxic).bit_length())
         setting = zstandard.ZstdCompressionParameters.from_level(
-            3, source_size=self.window * 10, dict_size=len(self.toxic), write_content_size=0, write_dict_id=0, format=zstandard.FORMAT_ZSTD1_MAGICLESS,
-            # chains that hold the whole dictionary: a faster match finder overwrites entries, and then the two
-            # dictionaries differ on ordinary words as well
-            min_match=6, strategy=zstandard.STRATEGY_LAZY, hash_log=13, chain_log=14, search_log=7, window_log=17,
+            3, source_size=self.window * 8, dict_size=len(self.toxic), write_content_size=0, write_dict_id=0, format=zstandard.FORMAT_ZSTD1_MAGICLESS,
+            min_match=6, strategy=zstandard.STRATEGY_LAZY, hash_log=log, chain_log=log + 1, search_log=7, window_log=max(17, log + 1),
         )
         plain, toxic = (
             zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(d, dict_type=zstandard.DICT_TYPE_RAWCONTENT), compression_params=setting).compress for d in (self.ordinary, self.toxic)
@@ -104,18 +113,28 @@ def _unlike(texts: list[str]) -> list[str]:
     return out
 
 
-def _dictionaries(toxic: list[str], plain: list[str], ordinary_words: int) -> tuple[bytes, bytes]:
-    df_t: Counter[str] = Counter()
-    df_o: Counter[str] = Counter()
-    for texts, df in ((toxic, df_t), (plain, df_o)):
-        for t in texts:
-            df.update(set(_words(t)))
+def _trained(sequences: list[list[str]]) -> bytes:
+    """A dictionary that zstandard trains on word sequences, about twice as large as their distinct words.
+
+    Where there is too little for its trainer, the distinct words' codes themselves, the most frequent last.
+    """
     codes = Codes()
-    common = sorted(df_o, key=lambda w: (df_o[w], w))[-ordinary_words:]
-    few = max(3, 0.01 * len(toxic))
-    marked = sorted((w for w, c in df_t.items() if c >= few and c / len(toxic) >= 20 * (df_o[w] + 0.5) / max(1, len(plain))), key=lambda w: (df_t[w], w))
-    shared = b"".join(codes[w] for w in common)
-    return b"\0" * 8 + shared, b"\0" * 8 + b"".join(codes[w] for w in marked[-8000:]) + shared
+    counts = Counter(w for s in sequences for w in s)
+    samples = [b"".join([codes[w] for w in s[i : i + 8]]) for s in sequences for i in range(0, len(s), 8)]
+    try:
+        return zstandard.train_dictionary(16 * len(counts) + 512, samples, k=16, d=8).as_bytes()
+    except zstandard.ZstdError:
+        return b"\0" * 8 + b"".join([codes[w] for w in sorted(counts, key=lambda w: (counts[w], w))])
+
+
+def _dictionaries(toxic: list[str], plain: list[str], ordinary_words: int) -> tuple[bytes, bytes]:
+    words = [[_words(t) for t in texts] for texts in (toxic, plain)]
+    df_t, df_o = (Counter(w for s in texts for w in set(s)) for texts in words)
+    common = set(sorted(df_o, key=lambda w: (df_o[w], w))[-ordinary_words:])
+    few = max(3, SHARE * len(toxic))
+    own = {w for w, c in df_t.items() if c >= few and c / len(toxic) >= ODDS * (df_o[w] + 0.5) / max(1, len(plain))}
+    ordinary = _trained([[w for w in s if w in common] for s in words[1]])
+    return ordinary, _trained([[w for w in s if w in own] for s in words[0]]) + ordinary
 
 
 def fit(rows: list[tuple[int, str, int]], window: int = WINDOW, ordinary_words: int = ORDINARY_WORDS) -> Model | None:
@@ -129,7 +148,7 @@ def fit(rows: list[tuple[int, str, int]], window: int = WINDOW, ordinary_words:
     score = Model(*_dictionaries(train[True], train[False], ordinary_words), window, 3).scorer()
     got = {k: Counter(score(t)[0] for t in v) for k, v in held.items()}
     best: list[tuple[float, int]] = []
-    for cut in range(3, 40):
+    for cut in range(3, max(max(c, default=3) for c in got.values()) + 2):
         caught, false = (sum(n for d, n in got[k].items() if d >= cut) for k in (True, False))
         best.append((2 * caught / max(1, caught + false + len(held[True])), cut))
     top = max(f for f, _ in best)
@@ -137,20 +156,20 @@ def fit(rows: list[tuple[int, str, int]], window: int = WINDOW, ordinary_words:
     return Model(*_dictionaries(by[True], by[False], ordinary_words), window, good[(len(good) - 1) // 2])
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, window: int = WINDOW) -> Model | None:
-    """Fit on at most ``sample`` labelled documents of each class."""
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, window: int = WINDOW, sample_bytes: int = SAMPLE_BYTES) -> Model | None:
+    """Fit on at most ``sample`` labelled documents and ``sample_bytes`` of text of each class."""
     flags = labels.select("doc_id", F.col("toxic").cast("int").alias("flag")).where("doc_id is not null and flag is not null").groupBy("doc_id").agg(F.max("flag").alias("flag"))
+    sized = docs.select("doc_id", F.octet_length(F.col("text").cast("string")).alias("n")).where("n > 0").join(flags, "doc_id").groupBy("doc_id").agg(F.max("n").alias("n"), F.max("flag").alias("flag"))
     picked = None
     for k in (1, 0):
-        part = flags.where(F.col("flag") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * sample)
+        part = sized.where((F.col("flag") == k) if k == 0 else (F.col("flag") != 0)).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+        upto = F.sum("n").over(Window.orderBy(F.xxhash64("doc_id"), "doc_id"))  # at most `sample` rows
+        part = part.withColumn("upto", upto).where((F.col("upto") <= sample_bytes) | (F.col("upto") == F.col("n"))).select("doc_id", "flag")
         picked = part if picked is None else picked.unionByName(part)
-    # at most 4 * sample rows: a bound that doesn't grow with the corpus
-    rows = docs.select(F.col("doc_id"), F.col("text")).join(F.broadcast(picked), "doc_id").where("text is not null").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("flag").alias("flag"))
-    kept = None
-    for k in (1, 0):
-        part = rows.where(F.col("flag") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-        kept = part if kept is None else kept.unionByName(part)
-    return fit([tuple(r) for r in kept.select("doc_id", "text", "flag").collect()], window)
+    picked = stored(picked, "toxicity-sample")
+    # at most 2 * sample rows: a bound that doesn't grow with the corpus
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).where("text <> ''").join(F.broadcast(picked), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("flag").alias("flag"))
+    return fit([(r["doc_id"], r["text"], r["flag"]) for r in rows.collect()], window)
 
 
 def _scored(model: Model | None, at: int):
