@@ -7,12 +7,14 @@ the size under the general one for the general cross-entropy:
 
     score = (general size - in-domain size) / general size
 
-The larger, the more the text is like the in-domain documents. Whole texts are compressed.
+The larger, the more the text is like the in-domain documents. A text is compressed in windows of ``window`` bytes of
+its UTF-8 form, each on its own, and the windows' sizes are added up; in one piece a long text would be its own
+dictionary and its score would fall with its length. All windows of all texts are compressed.
 
 In-domain documents are those with a row in ``in_domain``; without any, both dictionaries are equal and all scores 0.
 Null and empty texts have sizes and score 0. Repeated rows count and are scored each. Of equal weights the smaller word
 goes first. Null and repeated doc_ids in ``in_domain`` don't matter. Other columns are ignored. An empty table gives an
-empty result. Words longer than 64 characters stay out of the dictionaries.
+empty result. A dictionary holds ``size`` bytes; words that are longer than that are left out of it.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from pyspark.sql import functions as F
 
 from .shared import stored, with_sized_broadcast
 
-DICTIONARY_BYTES, LEVEL = 112_640, 3
+DICTIONARY_BYTES, WINDOW, LEVEL = 32_768, 512, 3
 SCORES = "doc_id bigint, in_domain_size bigint, general_size bigint, score double"
 
 
@@ -40,7 +42,7 @@ def dictionary(counts: DataFrame, column: str, size: int = DICTIONARY_BYTES) ->
     """The heaviest words by ``column`` times length, as many as ``size`` bytes hold, the heaviest last."""
     weight = F.col(column) * F.octet_length("word")
     # no word is shorter than a byte and a blank, so this bound on the rows is never the one that cuts
-    top = counts.where((F.col(column) > 0) & (F.length("word") <= 64)).orderBy(weight.desc(), "word").limit(size // 2).select("word").collect()
+    top = counts.where((F.col(column) > 0) & (F.octet_length("word") < size)).orderBy(weight.desc(), "word").limit(size // 2).select("word").collect()
     words, used = [], 0
     for (w,) in top:
         raw = w.encode() + b" "
@@ -51,24 +53,26 @@ def dictionary(counts: DataFrame, column: str, size: int = DICTIONARY_BYTES) ->
     return b"".join(reversed(words))
 
 
-def _compressor(content: bytes):
-    if len(content) < 8:
-        return zstandard.ZstdCompressor(level=LEVEL, write_content_size=False).compress
-    return zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT), write_content_size=False).compress
+def sizer(content: bytes, window: int = WINDOW):
+    """A function from bytes to the sum of their windows' compressed sizes under a dictionary."""
+    known = {"dict_data": zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)} if len(content) >= 8 else {}
+    setting = zstandard.ZstdCompressionParameters.from_level(LEVEL, source_size=window, dict_size=len(content), write_content_size=0, write_dict_id=0, format=zstandard.FORMAT_ZSTD1_MAGICLESS)
+    compress = zstandard.ZstdCompressor(compression_params=setting, **known).compress
+    return lambda raw: sum([len(compress(raw[i : i + window])) for i in range(0, len(raw), window)])
 
 
-def lm_scores(docs: DataFrame, in_domain: DataFrame, size: int = DICTIONARY_BYTES) -> DataFrame:
+def lm_scores(docs: DataFrame, in_domain: DataFrame, size: int = DICTIONARY_BYTES, window: int = WINDOW) -> DataFrame:
     """``doc_id, in_domain_size, general_size, score``, a row for each row of ``docs``."""
     counts = stored(word_counts(docs, in_domain), "word-counts")
     general = dictionary(counts, "n", size)
     inside = dictionary(counts, "n_in", size) or general
 
     def run(batches):
-        a, b_ = _compressor(inside), _compressor(general)
+        a, b_ = sizer(inside, window), sizer(general, window)
         for b in batches:
             raw = [t.encode() if t else b"" for t in b.column(1).to_pylist()]
-            x = [len(a(t)) if t else 0 for t in raw]
-            y = [len(b_(t)) if t else 0 for t in raw]
+            x = [a(t) for t in raw]
+            y = [b_(t) for t in raw]
             score = [round((g - i) / g, 6) if g else 0.0 for i, g in zip(x, y)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(x, pa.int64()), pa.array(y, pa.int64()), pa.array(score, pa.float64())], names=["doc_id", "in_domain_size", "general_size", "score"])
 
