@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,23 @@ def tokenizer(path: str):
     return tiktoken.Encoding("corpus", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+#: Runs of white space (as the pattern's ``\\s`` has it) that are too long for the pattern's backtracking.
+_LONG = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{5000,}")
+
+
+def token_ids(t, text: str) -> list[int]:
+    """The ids of a text. Of a long run of white space all but the last character is one piece, as the pattern would have it."""
+    if len(text) < 5000 or not _LONG.search(text):
+        return t.encode_ordinary(text)
+    out: list[int] = []
+    start = 0
+    for m in _LONG.finditer(text):
+        out += t.encode_ordinary(text[start : m.start()])
+        start = m.end() - (m.end() < len(text))
+        out += t._encode_single_piece(text[m.start() : start])
+    return out + t.encode_ordinary(text[start:])
+
+
 _LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3) + 1
 _MASKS = np.array([0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], np.uint32)
 
@@ -66,7 +84,7 @@ def tokenised(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
         t = tokenizer(vocabulary)
         kind = "<u2" if t.n_vocab <= 1 << 16 else "<u4"
         for b in batches:
-            ids = [None if x is None else np.array(t.encode_ordinary(x), kind).tobytes() for x in b.column(1).to_pylist()]
+            ids = [None if x is None else np.array(token_ids(t, x), kind).tobytes() for x in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
 
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id bigint, ids binary")
