@@ -5,6 +5,9 @@ records are built by column expressions. :func:`read_warc` streams WARC files, p
 block by block into rows of (record_id, chunk_no): a payload of any length is cut every ``chunk_bytes`` bytes, each
 row has the SHA-256 of the payload up to its end, and neither a file nor a record is ever held in memory.
 
+Identifiers and urls that a header line can't hold as they are (line breaks, blanks at an end) are percent-encoded, and
+a header of its own says so; :func:`read_warc` gives them back as they were and leaves all other values alone.
+
 Null payloads and payloads without bytes give one empty chunk 0. A null url leaves out WARC-Target-URI and is read as
 null. Null identifiers give the record id ``<urn:page:>``. Rows that repeat an identifier give their own chunks each.
 An empty table gives no files' worth of records and no chunks. A truncated file raises ValueError, and so does a
@@ -14,12 +17,13 @@ header without Content-Length. Other columns of the input are ignored.
 from __future__ import annotations
 
 import hashlib
+import urllib.parse
 import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .shared import fresh_path
@@ -28,12 +32,28 @@ CHUNK_BYTES, BLOCK = 16_384, 1 << 18
 CHUNKS = "record_id string, url string, chunk_no bigint, byte_start bigint, n_bytes bigint, payload binary, digest string, is_last boolean"
 
 
+_ENCODED = "x-percent-encoded"
+
+
+def _encoded(value: Column) -> Column:
+    out = value
+    for c, code in (("%", "%25"), ("\r", "%0D"), ("\n", "%0A")):
+        out = F.replace(out, F.lit(c), F.lit(code))
+    for pattern, code in (("^ ", "%20"), ("^\t", "%09"), (" $", "%20"), ("\t$", "%09")):
+        out = F.regexp_replace(out, pattern, code)
+    return out
+
+
 def write_warc(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", payload: str = "html") -> None:
     """Write a gzipped WARC file for each partition of ``pages`` into the folder ``path``."""
     body = F.coalesce(F.col(payload).cast("string"), F.lit(""))
-    target = F.when(F.col(url).isNull(), F.lit("")).otherwise(F.concat(F.lit("WARC-Target-URI: "), F.regexp_replace(F.col(url).cast("string"), "[\r\n]", ""), F.lit("\r\n")))
+    i, u = F.coalesce(F.col(key).cast("string"), F.lit("")), F.col(url).cast("string")
+    odd = i.rlike("[\r\n]") | F.coalesce(u.rlike("[\r\n]|^[ \t]|[ \t]$"), F.lit(False))
+    head = lambda i, u, extra: F.concat(
+        F.lit("WARC/1.1\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:page:"), i, F.lit(f">\r\n{extra}"), F.when(u.isNull(), F.lit("")).otherwise(F.concat(F.lit("WARC-Target-URI: "), u, F.lit("\r\n")))
+    )
     record = F.concat(
-        F.lit("WARC/1.1\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:page:"), F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(">\r\n"), target,
+        F.when(odd, head(_encoded(i), _encoded(u), f"{_ENCODED}: 1\r\n")).otherwise(head(i, u, "")),
         F.lit("WARC-Date: 1970-01-01T00:00:00Z\r\nContent-Type: text/html\r\nContent-Length: "), F.octet_length(body).cast("string"), F.lit("\r\n\r\n"), body,
     )
     pages.select(record.alias("value")).write.option("lineSep", "\r\n\r\n").option("compression", "gzip").text(path)
@@ -99,9 +119,12 @@ def chunks(file, packed: bool, chunk_bytes: int) -> Iterator[tuple]:
         head: dict[str, str] = {}
         while line := stream.line():
             name, _, value = line.decode("utf-8", "replace").partition(":")
-            head[name.strip().lower()] = value.strip()
+            head[name.strip().lower()] = value.strip(" \t")
         if "content-length" not in head:
             raise ValueError("a record has no Content-Length")
+        names = [head.get("warc-record-id"), head.get("warc-target-uri")]
+        if _ENCODED in head:
+            names = [x and urllib.parse.unquote(x) for x in names]
         left, no, start, digest = int(head["content-length"]), 0, 0, hashlib.sha256()
         while left or not no:
             parts, size = [], 0
@@ -110,7 +133,7 @@ def chunks(file, packed: bool, chunk_bytes: int) -> Iterator[tuple]:
                 size += len(parts[-1])
                 left -= len(parts[-1])
                 digest.update(parts[-1])
-            yield head.get("warc-record-id"), head.get("warc-target-uri"), no, start, size, b"".join(parts), digest.hexdigest(), not left
+            yield *names, no, start, size, b"".join(parts), digest.hexdigest(), not left
             no, start = no + 1, start + size
 
 
