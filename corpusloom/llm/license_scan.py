@@ -2,13 +2,15 @@
 
 A notice may occur with up to ``errors`` edits (inserted, dropped or changed characters), whatever its case and white
 space. A match with e edits leaves one of any e + 1 pieces of the notice untouched (pigeonhole), so the pieces are exact
-seeds: each text is searched for them, the surroundings of the hits are merged into regions, and the ``regex`` library
-verifies a region with bounded errors and gives the span.
+seeds: each text is searched for them, and the ``regex`` library verifies the surroundings of the hits with bounded errors
+and gives the span.
 
-Within a region the match with fewest edits is taken, the leftmost of several, and the search goes on left and right
-of it; so the spans of one notice never overlap. Where spans of different notices overlap, the one with fewer edits
-stays (the leftmost, then the longest, then the first in the table). Spans are character positions in the original text. White space runs
-count as one blank; case is folded character by character where that keeps the length.
+Of all matches of a notice the one with fewest edits is taken, the leftmost of several, then the best of those that don't
+overlap it, and so on; so the spans of one notice never overlap. Every hit of a seed is verified in its own surroundings,
+not much longer than the notice, so the work is linear in the hits however densely they lie. Where spans of different
+notices overlap, the one with fewer edits stays (the leftmost, then the longest, then the first in the table). Spans are
+character positions in the original text. White space runs count as one blank; case is folded character by character
+where that keeps the length.
 
 Null and empty texts have no matches. Repeated rows give their matches each. Notices shorter than ``errors`` + 1
 characters aren't allowed. Other columns of the input are ignored. An empty table gives an empty result.
@@ -16,7 +18,9 @@ characters aren't allowed. Other columns of the input are ignored. An empty tabl
 
 from __future__ import annotations
 
+import heapq
 import re
+from bisect import bisect_right
 
 import pyarrow as pa
 import regex
@@ -92,35 +96,46 @@ class Notice:
         self.seeds = [(a, self.text[a:b]) for a, b in zip(cuts, cuts[1:])]
         self.pattern = regex.compile(f"(?b)(?:{regex.escape(self.text, special_only=True)}){{e<={errors}}}")
 
-    def regions(self, folded: str, hits: dict[str, list[int]] | None = None) -> list[tuple[int, int]]:
-        """Where a match may be; ``hits`` keeps the seeds' positions in this text for notices that have the same ones."""
+    def matches(self, folded: str, hits: dict[str, list[int]] | None = None) -> list[tuple[int, int, int]]:
+        """(start, end, edits) of the matches; ``hits`` keeps the seeds' positions in this text for notices that have the same ones."""
         hits = {} if hits is None else hits
-        found = []
+        windows = set()
         for a, seed in self.seeds:
             if seed not in hits:
                 hits[seed] = _positions(folded, seed)
-            found += [(max(0, at - a - self.errors), min(len(folded), at - a + len(self.text) + self.errors)) for at in hits[seed]]
-        found.sort()
-        merged: list[tuple[int, int]] = []
-        for a, b in found:
-            if merged and a <= merged[-1][1]:
-                merged[-1] = (merged[-1][0], max(b, merged[-1][1]))
-            else:
-                merged.append((a, b))
-        return merged
-
-    def spans(self, folded: str, start: int, end: int) -> list[tuple[int, int, int]]:
-        """(start, end, edits) of the matches between two positions, best first and then to both sides."""
-        todo, out = [(start, end)], []
-        while todo:
-            a, b = todo.pop()
-            if b - a < len(self.text) - self.errors:
-                continue
-            if m := self.pattern.search(folded[a:b]):
-                s, e = a + m.start(), a + m.end()
-                out.append((s, e, sum(m.fuzzy_counts)))
-                todo += [(a, s), (e, b)]
-        return sorted(out)
+            windows.update([(max(0, at - a - self.errors), min(len(folded), at - a + len(self.text) + self.errors)) for at in hits[seed]])
+        if not windows:
+            return []
+        found: list[tuple[int, int, int, int, int]] = []
+        for a, b in windows:
+            self._verify(folded, a, b, found)
+        heapq.heapify(found)
+        starts: list[int] = []
+        taken: list[tuple[int, int, int]] = []
+        while found:
+            edits, s, e, a, b = heapq.heappop(found)
+            # what others have taken of this window since it was searched
+            i = bisect_right(starts, a)
+            before = taken[i - 1][1] if i else 0
+            i0 = i
+            while i < len(taken) and taken[i][0] < b:
+                i += 1
+            cuts = [(max(a, before), max(a, before)), *[(x, y) for x, y, _ in taken[i0:i]], (b, b)]
+            if before <= a and i == i0:
+                at = bisect_right(starts, s)
+                starts.insert(at, s)
+                taken.insert(at, (s, e, edits))
+                cuts = [(a, a), (s, e), (b, b)]
+            for (_, x), (y, _) in zip(cuts, cuts[1:]):
+                free: list[tuple[int, int, int, int, int]] = []
+                self._verify(folded, x, y, free)
+                for m in free:
+                    heapq.heappush(found, m)
+        return taken
+
+    def _verify(self, folded: str, a: int, b: int, out: list[tuple[int, int, int, int, int]]) -> None:
+        if b - a >= len(self.text) - self.errors and (m := self.pattern.search(folded[a:b])):
+            out.append((sum(m.fuzzy_counts), a + m.start(), a + m.end(), a, b))
 
 
 def find_notices(text: str | None, notices: list[Notice]) -> list[tuple[str, int, int, int, str]]:
@@ -132,15 +147,17 @@ def find_notices(text: str | None, notices: list[Notice]) -> list[tuple[str, int
     hits: dict[str, list[int]] = {}
     order = {n.name: i for i, n in enumerate(notices)}
     for n in notices:
-        for a, b in n.regions(folded, hits):
-            for s, e, edits in n.spans(folded, a, b):
-                x, y = (s, e) if at is None else (at[s], at[e - 1] + 1)
-                out.append((n.name, x, y, edits, text[x:y]))
-    taken: list[tuple[str, int, int, int, str]] = []
+        for s, e, edits in n.matches(folded, hits):
+            x, y = (s, e) if at is None else (at[s], at[e - 1] + 1)
+            out.append((n.name, x, y, edits, text[x:y]))
+    taken: list[tuple[int, int]] = []  # in order; they don't overlap
+    stay = []
     for m in sorted(out, key=lambda m: (m[3], m[1], -m[2], order[m[0]])):
-        if all(m[2] <= t[1] or m[1] >= t[2] for t in taken):
-            taken.append(m)
-    return sorted(taken, key=lambda m: (m[1], m[2], m[0]))
+        i = bisect_right(taken, (m[1], m[2]))
+        if (not i or taken[i - 1][1] <= m[1]) and (i == len(taken) or m[2] <= taken[i][0]):
+            taken.insert(i, (m[1], m[2]))
+            stay.append(m)
+    return sorted(stay, key=lambda m: (m[1], m[2], m[0]))
 
 
 def scan_licenses(docs: DataFrame, notices: dict[str, str] | None = None, errors: int = ERRORS) -> DataFrame:
