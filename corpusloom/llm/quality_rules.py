@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 STOP_WORDS = "the of and to in is that for it as with was on be by at this are or an die der das und in zu den von mit ist auf für le la les de des et un une est que en du au el los las un una y es que se por con para del do"
 SYMBOLS = "#$%&*<>{}|~^=_@\\"
 
+#: A short text can well do without a stop word: of sf0.1's 3,409 documents labelled good, 29 break ``stop_word_ratio`` if it
+#: holds for all lengths and none if it holds from 30 words on (of 571 poor ones 42 and 37).
 #: (rule, metric, comparison that rejects, threshold, words that a text must have for the rule to apply)
 RULES: list[tuple[str, str, str, float | None, int]] = [
     ("min_words", "n_words", "<", 1, 0),
@@ -30,7 +32,7 @@ RULES: list[tuple[str, str, str, float | None, int]] = [
     ("stop_word_ratio", "stop_word_ratio", "<", 0.01, 30),
     ("bullet_line_ratio", "bullet_line_ratio", ">", 0.9, 0),
     ("ellipsis_line_ratio", "ellipsis_line_ratio", ">", 0.3, 0),
-    ("duplicate_line_ratio", "duplicate_line_ratio", ">", 0.5, 30),
+    ("duplicate_line_ratio", "duplicate_line_ratio", ">", 0.5, 0),
 ]
 
 
