@@ -294,6 +294,59 @@ def test_toxicity_on_documents_without_labels(labelled):
     assert kept.columns == clashing(docs).columns and {r.doc_id for r in kept.collect()} == {i for i, x in got.items() if not x}
 
 
+def test_toxicity_against_brute_force(spark, labelled):
+    """Every window of every text compressed on its own, with words and windows found another way; repeated rows, ties and long texts too."""
+    import re
+
+    import xxhash
+    import zstandard
+
+    docs, labels, _ = labelled
+    model = toxicity.train(docs, labels)
+    long = " ".join(["the tion blorfing and"] * 9000)
+    more = spark.createDataFrame([(1000, long), (1001, "Blorfing, SNARKLE! gribbly-wumpus 7"), (1001, "Blorfing, SNARKLE! gribbly-wumpus 7"), (1002, " \n 12 ___ "), (None, "wumpus")], "doc_id bigint, text string")
+    both = docs.select("doc_id", "text").unionByName(more)
+
+    def size(dictionary, data):
+        log = max(13, len(model.toxic).bit_length())
+        setting = zstandard.ZstdCompressionParameters.from_level(
+            3, source_size=32 * 8, dict_size=len(model.toxic), write_content_size=0, write_dict_id=0, format=zstandard.FORMAT_ZSTD1_MAGICLESS, min_match=6, strategy=zstandard.STRATEGY_LAZY, hash_log=log, chain_log=log + 1,
+            search_log=7, window_log=max(17, log + 1),
+        )
+        return len(zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT), compression_params=setting).compress(data))
+
+    want = Counter()
+    seen = {}
+    for i, t in ((r.doc_id, r.text) for r in both.collect()):
+        words = [w for w in re.split(r"[\W\d_]+", (t or "").lower()) if w]
+        windows = [b"".join(xxhash.xxh64_digest(w.encode()) for w in words[k : k + 32]) for k in range(0, len(words), 32)]
+        for w in windows:
+            if w not in seen:
+                seen[w] = size(model.ordinary, w) - size(model.toxic, w)
+        d = [seen[w] for w in windows]
+        hits = sum(x >= model.threshold for x in d)
+        want[i, max([0, *d]), len(d), hits, hits > 0] += 1
+    got = toxicity.toxicity_scores(both, labels).collect()
+    assert Counter(tuple(r) for r in got) == want
+    assert any(r.doc_id == 1000 and r.is_toxic and r.n_windows == 1125 for r in got)
+
+
+def test_toxicity_labels_without_documents_take_no_place(spark, labelled):
+    docs, labels, truth = labelled
+    strange = spark.range(10_000, 40_000).selectExpr("id AS doc_id", "CAST(id % 2 AS INT) AS toxic")
+    few = toxicity.train(docs, labels.unionByName(strange), sample=250)
+    assert few == toxicity.train(docs, labels, sample=250) and few is not None
+    assert toxicity.train(docs, labels, sample=3) is None
+    # a byte bound that only the first document of a class keeps to
+    assert toxicity.train(docs, labels, sample_bytes=1) is None
+
+
+def test_toxicity_of_unseen_words_with_a_known_beginning(labelled):
+    docs, labels, _ = labelled
+    score = toxicity.train(docs, labels).scorer()
+    assert score("the blorfly and a snarkout") == (0, 1, 0) and score("blorfing snarkle")[2] == 1
+
+
 def test_toxicity_without_labels(spark, labelled):
     docs, labels, _ = labelled
     assert not any(r.is_toxic for r in toxicity.toxicity_scores(docs, labels.limit(0)).collect())
@@ -315,6 +368,20 @@ def test_warc(spark):
     assert warc.warc_chunks(pages.limit(0)).count() == 0
 
 
+def test_warc_identifiers_and_urls_of_any_kind(spark):
+    odd = ["a\r\nX: y", " \t", "a%0Ab", "100%", " edge ", "\ttab", "é\n漢", "plain", "", "a:b>c", None]
+    pages = spark.createDataFrame([(x, y, "p", "clash") for x in odd for y in odd], "page_id string, url string, html string, record_id string")
+    got = Counter((r.record_id, r.url, bytes(r.payload)) for r in warc.warc_chunks(pages).collect())
+    assert got == Counter((f"<urn:page:{x or ''}>", y, b"p") for x in odd for y in odd)
+
+
+def test_warc_leaves_the_percent_signs_of_others():
+    import io
+
+    record = b"WARC/1.0\r\nWARC-Record-ID: <a%20b>\r\nWARC-Target-URI: http://x/%2520\r\nContent-Length: 1\r\n\r\nz\r\n\r\n"
+    assert [r[:2] for r in warc.chunks(io.BytesIO(record), False, 10)] == [("<a%20b>", "http://x/%2520")]
+
+
 def test_warc_stream_of_many_members(tmp_path):
     import gzip
     import io
@@ -348,6 +415,36 @@ def test_token_output(spark, docs):
     assert token_output.encode_corpus(empty(spark))[0].count() == 0
 
 
+def test_token_ids_of_long_white_space():
+    t = token_output.tokenizer(token_output.VOCABULARY)
+    for run in (" " * 6000, "\n" * 5000, " \n" * 4000, "\u3000\t" * 3000):
+        for x in ("abc" + run, run + "x", "abc" + run + " x" + run + "?\n", run, "1" + run + "漢"):
+            assert token_output.token_ids(t, x) == t.encode_ordinary(x)
+    assert t.decode(token_output.token_ids(t, "a" + " " * 1_000_000 + "b")) == "a" + " " * 1_000_000 + "b"
+
+
+def best_apart(notice, folded):
+    """The best match of the whole text, then of what lies before and after it, and so on, without seeds."""
+    todo, out = [(0, len(folded))], []
+    while todo:
+        a, b = todo.pop()
+        if m := notice.pattern.search(folded[a:b]):
+            out.append((a + m.start(), sum(m.fuzzy_counts)))
+            todo += [(a, a + m.start()), (a + m.end(), b)]
+    return sorted(out)
+
+
+def test_license_scan_of_dense_notices(spark):
+    notices = [license_scan.Notice(k, v, 3) for k, v in license_scan.NOTICES.items()]
+    t = "Released under teh MIT License " * 400
+    got = license_scan.find_notices(t, notices)
+    assert [(m[0], m[3]) for m in got] == [("MIT", 2)] * 400 and all(a[2] <= b[1] for a, b in zip(got, got[1:]))
+    # ties: two notices that lie equally near, repeated rows, a seed's words on their own
+    pair = {"A": "licence alpha one", "B": "licence alphb one"}
+    df = spark.createDataFrame([(1, "the licence alphc one"), (1, "the licence alphc one"), (2, "licence licence alpha alpha"), (3, "")], "doc_id bigint, text string")
+    assert [tuple(r) for r in license_scan.scan_licenses(df, pair, 1).collect()] == [(1, "A", 4, 21, 1, "licence alphc one")] * 2
+
+
 def test_license_scan(spark, docs):
     rng = random.Random(3)
     notices = [license_scan.Notice(k, v, 3) for k, v in license_scan.NOTICES.items()]
@@ -362,7 +459,7 @@ def test_license_scan(spark, docs):
             t = t[:p] + "\n" + "".join(z).title().replace(" ", rng.choice([" ", "  ", "\n"])) + " " + t[p:]
         folded, _ = license_scan._folded(t)
         for n in notices[:5]:
-            assert [s for a, b in n.regions(folded) for s in n.spans(folded, a, b)] == n.spans(folded, 0, len(folded))
+            assert [(a, edits) for a, _, edits in n.matches(folded)] == best_apart(n, folded)
     assert license_scan.scan_licenses(docs).count() == license_scan.scan_licenses(empty(spark)).count() == 0
     df = spark.createDataFrame([(1, "İ  Relaesed under\nthe MIT  License. Licensed under CC BY-SA 4.0.", 1), (2, None, 2)], "doc_id bigint, text string, license int")
     got = sorted((r.license, r.n_edits, r.matched) for r in license_scan.scan_licenses(df).collect())
@@ -402,6 +499,50 @@ def test_piece_coding(spark, docs):
     assert piece_coding.encode_pieces(empty(spark)).count() == 0
 
 
+def test_lm_sizes_against_plain_compression(spark, docs):
+    import zstandard
+
+    chosen = spark.createDataFrame([(i,) for i in range(0, 30, 2)] + [(None,)], "doc_id bigint")
+    counts = {"n": Counter(), "n_in": Counter()}
+    for i, t, *_ in rows():
+        for w in (t or "").split():
+            counts["n"][w] += 1
+            counts["n_in"][w] += i in range(0, 30, 2)
+    contents = []
+    for c in (counts["n_in"], counts["n"]):
+        words, used = [], 0
+        for w in sorted((w for w in c if c[w]), key=lambda w: (-c[w] * len(w.encode()), w)):
+            if used + len(w.encode()) + 1 > 3000:
+                break
+            words.insert(0, w)
+            used += len(w.encode()) + 1
+        contents.append("".join(w + " " for w in words).encode())
+
+    def size(content, text):
+        raw, total = text.encode(), 0
+        setting = zstandard.ZstdCompressionParameters.from_level(3, source_size=512, dict_size=len(content), write_content_size=0, write_dict_id=0, format=zstandard.FORMAT_ZSTD1_MAGICLESS)
+        while raw:
+            part, raw = raw[:512], raw[512:]
+            total += len(zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT), compression_params=setting).compress(part))
+        return total
+
+    want = Counter((i, size(contents[0], t or ""), size(contents[1], t or "")) for i, t, *_ in rows())
+    got = lm_scoring.lm_scores(clashing(docs), chosen, 3000).collect()
+    assert Counter((r.doc_id, r.in_domain_size, r.general_size) for r in got) == want
+    assert all(r.score == (round((r.general_size - r.in_domain_size) / r.general_size, 6) if r.general_size else 0) for r in got)
+
+
+def test_lm_scores_do_not_hang_on_length_or_on_long_words(spark):
+    rng = random.Random(8)
+    inside = [f"in{i:03d}word" for i in range(300)] + ["w" * 70 + str(i) for i in range(20)]
+    data = [(i, " ".join(rng.choice(inside if i % 2 else [f"out{k:03d}word" for k in range(300)]) for _ in range(n))) for i, n in enumerate([500] * 40 + [50] * 20 + [50_000] * 2)]
+    got = {r.doc_id: r.score for r in lm_scoring.lm_scores(spark.createDataFrame(data, "doc_id bigint, text string"), spark.createDataFrame([(i,) for i in range(1, 40, 2)], "doc_id bigint"), 6000).collect()}
+    short, long = sum(got[i] for i in range(41, 60, 2)) / 10, got[61]
+    assert abs(short - long) <= 0.1 * long and long > 0.1
+    counts = lm_scoring.word_counts(spark.createDataFrame(data, "doc_id bigint, text string"), spark.createDataFrame([], "doc_id bigint"))
+    assert b"w" * 70 in lm_scoring.dictionary(counts, "n", 6000)
+
+
 def test_lm_scoring(spark, docs):
     rng = random.Random(2)
     inside, outside = ([f"{p}{i:03d}word" for i in range(400)] for p in ("in", "out"))
