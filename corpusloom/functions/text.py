@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -117,6 +119,32 @@ def endpoint(url: Column) -> Column:
     return F.concat(F.regexp_replace(F.regexp_replace(url, "/index$", ""), "/$", ""), F.lit("/oai"))
 
 
+def inferred_endpoint(address: Column, page: Column, domain: str, hub: str) -> Column:
+    """The endpoint of a journal from its address (the page's refresh address, if it has one) and its page.
+
+    A site that is all ``domain`` (its address ends in it) has no endpoint of its own: the first link to ``hub`` in the
+    page is taken, null without one.
+    """
+    base = F.regexp_replace(F.regexp_replace(F.coalesce(F.nullif(meta_refresh(page), F.lit("")), address), "/index$", ""), "/$", "")
+    link = F.nullif(F.regexp_extract(page, "(" + re.escape(hub) + r"[\w-]+)", 1), F.lit(""))
+    return F.when(base.endswith(domain), link).otherwise(F.concat(base, F.lit("/oai")))
+
+
+def friendly_name(model: Column) -> Column:
+    """The family of a model from its ``owner/family-size`` name."""
+    return F.split_part(F.split_part(model, F.lit("/"), F.lit(2)), F.lit("-"), F.lit(1))
+
+
+def any_license(metadata: Column) -> Column:
+    """Every licence is accepted, as the source's own test is switched off; the predicate is a seam for one."""
+    return F.lit(True)
+
+
+def sample(text: Column, n: int = 1000) -> Column:
+    """The first ``n`` characters, for people to look at."""
+    return F.substring(text, 1, n)
+
+
 def endpoint_key(url: Column) -> Column:
     out = F.regexp_replace(F.regexp_replace(url, "/oai$", ""), "^https://", "")
     return F.replace(F.replace(out, F.lit("/index.php/"), F.lit("_")), F.lit("/"), F.lit("_"))

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import re
-from collections import Counter
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..sources.shared import sized, stored
+from .dedup import rolling_hashes
 
 GOPHER_STOP_WORDS = ("the", "be", "to", "of", "and", "that", "have", "with")
 POLICY_PHRASES = ("terms of use", "privacy policy", "cookie policy", "uses cookies", "use of cookies", "use cookies")
@@ -42,47 +44,54 @@ def line_repetition(docs: DataFrame) -> DataFrame:
 
 
 def ngram_measures(top: tuple[int, ...], dup: tuple[int, ...]):
-    """A vectorised function of a word list: for each n in ``top`` the characters in the most frequent n-gram (the longest
-    of equals; 0 if none repeats), for each n in ``dup`` the characters of the words that repeated n-grams cover.
+    """A vectorised function of the hashes and lengths of a word list: for each n in ``top`` the characters in the most
+    frequent n-gram (the longest of equals; 0 if none repeats), for each n in ``dup`` the characters of the words that
+    repeated n-grams cover. N-grams are compared by a rolling 64-bit hash.
 
     Nine sizes of n-grams by explode and groupBy would shuffle nine times the corpus; a document's n-grams never leave
     its row here.
     """
     fields = ", ".join([f"top_{n}: bigint" for n in top] + [f"dup_{n}: bigint" for n in dup])
+    base = 0xD6E8FEB86659FD93
+
+    def of(h, size) -> list[int]:
+        h, size = np.asarray(h, np.int64).view(np.uint64), np.asarray(size, np.int64)
+        before = np.append(0, np.cumsum(size))
+        row = []
+        for n in top + dup:
+            if len(h) <= n:
+                row.append(0)
+                continue
+            grams = rolling_hashes(h, n, base)
+            order = np.argsort(grams, kind="stable")
+            new = np.append(True, grams[order][1:] != grams[order][:-1])
+            start = np.flatnonzero(new)
+            counts = np.diff(np.append(start, len(grams)))
+            most = counts.max()
+            if most < 2:
+                row.append(0)
+            elif n in top:
+                at = order[start[counts == most]]
+                row.append(int(most * (before[at + n] - before[at]).max() + most * (n - 1)))
+            else:
+                again = order[np.repeat(counts > 1, counts)]
+                edge = np.bincount(again, minlength=len(h) + 1) - np.bincount(again + n, minlength=len(h) + 1)
+                row.append(int(size[np.cumsum(edge)[:-1] > 0].sum()))
+        return row
 
     @F.pandas_udf(f"struct<{fields}>")
-    def measures(lists: pd.Series) -> pd.DataFrame:
-        out = []
-        for w in lists:
-            w = list(w)
-            size = [len(x) for x in w]
-            row: list[int] = []
-            for n in top:
-                counts = Counter(zip(*(w[i:] for i in range(n))))
-                most = max(counts.values(), default=0)
-                row.append(0 if most < 2 else most * max(sum(map(len, g)) + n - 1 for g, c in counts.items() if c == most))
-            for n in dup:
-                grams = list(zip(*(w[i:] for i in range(n))))
-                counts = Counter(grams)
-                upto = total = 0
-                if len(counts) < len(grams):
-                    for i, g in enumerate(grams):
-                        if counts[g] > 1:
-                            total += sum(size[max(i, upto) : i + n])
-                            upto = i + n
-                row.append(total)
-            out.append(row)
-        return pd.DataFrame(out, columns=[f"top_{n}" for n in top] + [f"dup_{n}" for n in dup])
+    def measures(hashes: pd.Series, sizes: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([of(h, size) for h, size in zip(hashes, sizes)], columns=[f"top_{n}" for n in top] + [f"dup_{n}" for n in dup])
 
     return measures
 
 
-def gopher_repetition(docs: DataFrame, top: tuple = ((2, 0.2), (3, 0.18), (4, 0.16)), dup: tuple = ((5, 0.15), (6, 0.14), (7, 0.13), (8, 0.12), (9, 0.11), (10, 0.1))) -> DataFrame:
-    """All repetition measures and ``keep``, in one narrow pass."""
-    rows = docs.select("doc_id", F.length("text").alias("n"), T.lines(F.col("text")).alias("l"), T.paragraphs(F.col("text")).alias("p"), T.words(F.coalesce("text", F.lit(""))).alias("w"))
-    rows = rows.select("*", F.array_distinct("l").alias("dl"), F.array_distinct("p").alias("dp"), _chars(F.col("w")).alias("wc"), ngram_measures(tuple(n for n, _ in top), tuple(n for n, _ in dup))("w").alias("g"))
+def gopher_repetition(docs: DataFrame, carry: tuple[str, ...] = (), top: tuple = ((2, 0.2), (3, 0.18), (4, 0.16)), dup: tuple = ((5, 0.15), (6, 0.14), (7, 0.13), (8, 0.12), (9, 0.11), (10, 0.1))) -> DataFrame:
+    """All repetition measures and ``keep``, in one narrow pass. Here and below, ``carry`` names columns that stay."""
+    rows = docs.select("doc_id", *carry, F.length("text").alias("n"), T.lines(F.col("text")).alias("l"), T.paragraphs(F.col("text")).alias("p"), T.words(F.coalesce("text", F.lit(""))).alias("w"))
+    rows = rows.select("*", F.array_distinct("l").alias("dl"), F.array_distinct("p").alias("dp"), _chars(F.col("w")).alias("wc"), ngram_measures(tuple(n for n, _ in top), tuple(n for n, _ in dup))(F.transform("w", lambda x: F.xxhash64(x)), F.transform("w", lambda x: F.length(x))).alias("g"))
     out = rows.select(
-        "doc_id", *_line_measures(),
+        "doc_id", *carry, *_line_measures(),
         *[share(F.col(f"g.top_{n}"), F.col("n")).alias(f"top_{n}") for n, _ in top],
         *[share(F.col(f"g.dup_{n}"), F.col("wc")).alias(f"dup_{n}") for n, _ in dup],
     )
@@ -92,67 +101,110 @@ def gopher_repetition(docs: DataFrame, top: tuple = ((2, 0.2), (3, 0.18), (4, 0.
     return out.withColumn("keep", ~bad)
 
 
-def gopher_quality(docs: DataFrame, low: int = 50, high: int = 100_000) -> DataFrame:
-    rows = docs.select("doc_id", "text", T.words(F.col("text")).alias("w"), T.lines(F.col("text")).alias("l"))
-    stop = F.array(*[F.lit(x) for x in GOPHER_STOP_WORDS])
+def gopher_quality(docs: DataFrame, low: int = 50, high: int = 100_000, carry: tuple[str, ...] = (), shortest: float = 3, longest: float = 10, stop_words: tuple[str, ...] = GOPHER_STOP_WORDS, least_stop_words: int = 2) -> DataFrame:
+    rows = docs.select("doc_id", *carry, F.col("text").alias("_t"), T.words(F.col("text")).alias("w"), T.lines(F.col("text")).alias("l"))
+    stop = F.array(*[F.lit(x) for x in stop_words])
     rows = rows.select(
-        "doc_id",
+        "doc_id", *carry,
         F.size("w").cast("bigint").alias("n_words"),
         share(_chars(F.col("w")), F.size("w")).alias("avg_word_len"),
         share(F.size(F.filter("l", lambda x: x.rlike(r"^\s*[•*-]"))), F.size("l")).alias("bullet_frac"),
         share(F.size(F.filter("l", lambda x: x.endswith("...") | x.endswith("…"))), F.size("l")).alias("ellipsis_frac"),
         F.size(F.array_intersect(F.col("w"), stop)).cast("bigint").alias("stop_words"),
-        share(F.regexp_count("text", F.lit(r"#|\.\.\.|…")), F.size("w")).alias("symbol_ratio"),
+        share(F.regexp_count("_t", F.lit(r"#|\.\.\.|…")), F.size("w")).alias("symbol_ratio"),
         share(F.size(F.filter("w", lambda x: x.rlike(r"\p{L}"))), F.size("w")).alias("alpha_frac"),
-    )
-    keep = F.col("n_words").between(low, high) & F.col("avg_word_len").between(3, 10) & (F.col("bullet_frac") <= 0.9) & (F.col("ellipsis_frac") <= 0.3)
-    return rows.withColumn("keep", keep & (F.col("stop_words") >= 2) & (F.col("symbol_ratio") <= 0.1) & (F.col("alpha_frac") >= 0.8))
+    )
+    keep = F.col("n_words").between(low, high) & F.col("avg_word_len").between(shortest, longest) & (F.col("bullet_frac") <= 0.9) & (F.col("ellipsis_frac") <= 0.3)
+    return rows.withColumn("keep", keep & (F.col("stop_words") >= least_stop_words) & (F.col("symbol_ratio") <= 0.1) & (F.col("alpha_frac") >= 0.8))
 
 
-def c4_quality(docs: DataFrame, least_sentences: int = 3) -> DataFrame:
-    """Drop policy lines and citation marks, then ask for enough sentences. ``text_out`` is what later filters see."""
-    clean = F.regexp_replace(F.col("text"), r"\[\d*\]|\[edit\]|\[citation needed\]", "")
+def c4_quality(
+    docs: DataFrame, least_sentences: int = 3, carry: tuple[str, ...] = (), terminal_punctuation: bool = False, least_words_a_line: int = -1,
+    javascript: bool = False, curly_bracket: bool = False, policy: bool = True, citations: bool = True, lorem_ipsum: bool = True,
+) -> DataFrame:
+    """Drop lines and citation marks, then ask for enough sentences. ``text_out`` is what later filters see.
 
-    def policy(line: Column) -> Column:
-        low = F.lower(line)
-        out = F.lit(False)
-        for p in POLICY_PHRASES:
-            out = out | low.contains(p)
+    Lines go that name a policy (``policy``) or javascript, don't end a sentence (``terminal_punctuation``) or have too
+    few words; a document goes that has a curly bracket (``curly_bracket``) or filler text.
+    """
+    text = F.regexp_replace(F.col("text"), r"\[\d*\]|\[edit\]|\[citation needed\]", "") if citations else F.col("text")
+
+    def stays(line: Column) -> Column:
+        low, out = F.lower(line), F.lit(True)
+        if terminal_punctuation:
+            ends = line.endswith(TERMINAL[0])
+            for e in TERMINAL[1:]:
+                ends = ends | line.endswith(e)
+            out = out & ends & ~line.endswith("...")
+        if least_words_a_line > 0:
+            out = out & (F.size(T.words(line)) >= least_words_a_line)
+        for p in (*(POLICY_PHRASES if policy else ()), *(("javascript",) if javascript else ())):
+            out = out & ~low.contains(p)
         return out
 
-    kept = docs.select("doc_id", F.array_join(F.filter(T.lines(clean), lambda x: ~policy(x)), "\n").alias("text_out"))
-    rows = kept.withColumn("n_sentences", T.sentence_count(F.col("text_out")).cast("bigint"))
-    return rows.withColumn("keep", (F.col("n_sentences") >= least_sentences) & ~F.lower("text_out").contains("lorem ipsum"))
+    rows = docs.select("doc_id", *carry, F.array_join(F.filter(T.lines(text), stays), "\n").alias("text_out"))
+    rows = rows.withColumn("n_sentences", T.sentence_count(F.col("text_out")).cast("bigint"))
+    keep = F.col("n_sentences") >= least_sentences
+    if lorem_ipsum:
+        keep = keep & ~F.lower("text_out").contains("lorem ipsum")
+    if curly_bracket:
+        keep = keep & ~F.col("text_out").contains("{")
+    return rows.withColumn("keep", keep)
 
 
-def fineweb_quality(docs: DataFrame, short: int = 30) -> DataFrame:
-    rows = docs.select("doc_id", "text", F.filter(T.lines(F.col("text")), lambda x: F.trim(x) != "").alias("l"), F.size(T.words(F.col("text"))).alias("n"))
+def fineweb_quality(docs: DataFrame, short: int = 30, carry: tuple[str, ...] = ()) -> DataFrame:
+    rows = docs.select("doc_id", *carry, F.col("text").alias("_t"), F.filter(T.lines(F.col("text")), lambda x: F.trim(x) != "").alias("l"), F.size(T.words(F.col("text"))).alias("n"))
     ends = lambda x: x.endswith(TERMINAL[0]) | x.endswith(TERMINAL[1]) | x.endswith(TERMINAL[2]) | x.endswith(TERMINAL[3]) | x.endswith(TERMINAL[4])
     rows = rows.select(
-        "doc_id",
+        "doc_id", *carry,
         share(F.size(F.filter("l", ends)), F.size("l")).alias("line_punct"),
         share(F.size(F.filter("l", lambda x: F.length(x) <= short)), F.size("l")).alias("short_lines"),
         share(_chars(F.col("l")) - _chars(F.array_distinct("l")), _chars(F.col("l"))).alias("char_dup"),
-        share(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))), F.col("n")).alias("newline_ratio"),
-    )
+        share(F.length("_t") - F.length(F.replace("_t", F.lit("\n"), F.lit(""))), F.col("n")).alias("newline_ratio"),
+    )
     return rows.withColumn("keep", (F.col("line_punct") > 0.1) & (F.col("short_lines") < 0.67) & (F.col("char_dup") < 0.1) & (F.col("newline_ratio") <= 0.3))
 
 
-def flagged_words(docs: DataFrame, scores: dict[str, int | None], threshold: float = 0.01, keep_fraction: float = 0.1, seed: str = "flagged", mode: str = "as_written") -> DataFrame:
+def _weighing(weights: Column):
+    return lambda a, x: a + weights[x]
+
+
+def flagged_words(
+    docs: DataFrame, scores: dict[str, int | None] | dict[str, dict[str, int | None]], threshold: float = 0.01, keep_fraction: float = 0.1, seed: str = "flagged", mode: str = "as_written",
+    carry: tuple[str, ...] = (), lang: str | None = None,
+) -> DataFrame:
     """``n_flagged, ratio, keep``: weights 2^(score-5) of the flagged phrases found, over the number of words.
 
     Matches use up the character on either side. ``mode='as_written'`` counts a phrase's blanks, so single words weigh
     nothing; ``'syllables'`` counts its words. Rejected documents stay with probability ``keep_fraction`` by hash.
+    With ``lang`` naming a column, ``scores`` has a list for each language, and documents of others are accepted.
     """
-    low = {w.lower(): 2.0 ** ((s or 3) - 5) * (len(w.split(" ")) - (mode == "as_written")) for w, s in scores.items()}
-    pattern = "|".join(sorted((re.escape(w).replace("\\ ", " ") for w in low), key=lambda w: (-len(w), w)))
-    found = F.regexp_extract_all(F.lower("text"), F.lit(rf"(?:[^\p{{L}}\p{{N}}_]|^)({pattern})(?:[^\p{{L}}\p{{N}}_]|$)"), F.lit(1))
-    weights = F.create_map(*[F.lit(x) for kv in low.items() for x in kv])
-    rows = docs.select("doc_id", found.alias("f"), F.size(T.words(F.col("text"))).alias("n"))
-    rows = rows.select("doc_id", F.size("f").cast("bigint").alias("n_flagged"), share(F.aggregate("f", F.lit(0.0), lambda a, x: a + weights[x]), F.col("n")).alias("ratio"))
+    found, ratio = F.lit(0).cast("bigint"), F.lit(0.0)
+    n = F.size(T.words(F.col("text")))
+    for language, words in scores.items() if lang else [("", scores)]:
+        low = {w.lower(): 2.0 ** ((x or 3) - 5) * (len(w.split(" ")) - (mode == "as_written")) for w, x in words.items()}
+        pattern = "|".join(sorted((re.escape(w).replace("\\ ", " ") for w in low), key=lambda w: (-len(w), w)))
+        f = F.regexp_extract_all(F.lower("text"), F.lit(rf"(?:[^\p{{L}}\p{{N}}_]|^)({pattern})(?:[^\p{{L}}\p{{N}}_]|$)"), F.lit(1))
+        weights = F.create_map(*[F.lit(x) for kv in low.items() for x in kv])
+        mine = F.col(lang) == language if lang else F.lit(True)
+        found = F.when(mine, F.size(f).cast("bigint")).otherwise(found)
+        ratio = F.when(mine, share(F.aggregate(f, F.lit(0.0), _weighing(weights)), n)).otherwise(ratio)
+    rows = docs.select("doc_id", *carry, found.alias("n_flagged"), ratio.alias("ratio"))
     return rows.withColumn("keep", (F.col("ratio") <= threshold) | (T.hash_bucket(F.col("doc_id"), seed) < int(keep_fraction * 1000)))
 
 
+def blocked_domains(docs: DataFrame, url: Column, blocklist: DataFrame, out: str = "blocked") -> DataFrame:
+    """Add ``out``: whether the address's host or registered domain is in ``blocklist`` (column ``domain``).
+
+    The list is broadcast if it is small enough, else joined by shuffle; rows without an address aren't blocked.
+    """
+    names = sized(blocklist.select(F.lower("domain").alias("_name")).where("_name is not null").distinct())
+    rows = docs.withColumn("_host", F.lower(T.host(url))).withColumn("_site", F.lower(T.registered_domain(url)))
+    for c in ("_host", "_site"):
+        rows = rows.join(names.withColumn(f"{c}_in", F.lit(True)).withColumnRenamed("_name", f"{c}_name"), F.col(c) == F.col(f"{c}_name"), "left").drop(f"{c}_name")
+    return rows.withColumn(out, F.coalesce("_host_in", "_site_in", F.lit(False))).drop("_host", "_site", "_host_in", "_site_in")
+
+
 def with_whitelist(rejected: Column, url: Column, domains: tuple[str, ...], allow_no_url: bool = True) -> Column:
     """Whether a row is kept: whitelisted domains pass, rows without a URL too (or raise), others if not ``rejected``."""
     base = F.when(T.registered_domain(url).isin(*domains), F.lit(True)).otherwise(~F.coalesce(rejected, F.lit(False)))
@@ -160,16 +212,23 @@ def with_whitelist(rejected: Column, url: Column, domains: tuple[str, ...], allo
     return F.when(url.isNull(), none).otherwise(base)
 
 
-def language_scores(docs: DataFrame, lists: dict[str, tuple[str, ...]]) -> DataFrame:
-    """The language with most stop-word hits (ties: the first by name), with its share of the words."""
-    rows = docs.select("doc_id", T.words(F.lower("text")).alias("w"))
+def language_of(text: Column, lists: dict[str, tuple[str, ...]]) -> Column:
+    """A struct of ``detected``, the language with most stop-word hits (ties: the first by name; ``und`` without any), and
+    ``score``, its share of the words. Any other classifier may stand in for it that gives such a struct."""
 
     def among(ws):
         return lambda x: x.isin(*ws)
 
-    scored = F.array(*[F.struct(F.size(F.filter("w", among(ws))).alias("n"), F.lit(-i).alias("o"), F.lit(k).alias("lang")) for i, (k, ws) in enumerate(sorted(lists.items()))])
-    best = rows.select("doc_id", F.size("w").alias("m"), F.array_max(scored).alias("b"))
-    return best.select("doc_id", F.when(F.col("b.n") > 0, F.col("b.lang")).otherwise("und").alias("detected"), share(F.col("b.n"), F.col("m")).alias("score"))
+    def best(w: Column) -> Column:
+        scored = F.array(*[F.struct(F.size(F.filter(w, among(ws))).alias("n"), F.lit(-i).alias("o"), F.lit(k).alias("lang")) for i, (k, ws) in enumerate(sorted(lists.items()))])
+        return F.transform(F.array(F.array_max(scored)), lambda b: F.struct(F.when(b["n"] > 0, b["lang"]).otherwise("und").alias("detected"), share(b["n"], F.size(w)).alias("score")))[0]
+
+    return F.transform(F.array(T.words(F.lower(text))), best)[0]
+
+
+def language_scores(docs: DataFrame, lists: dict[str, tuple[str, ...]], carry: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id, detected, score``, a row for each row of ``docs``."""
+    return docs.select("doc_id", *carry, language_of(F.col("text"), lists).alias("_l")).select("doc_id", *carry, "_l.detected", "_l.score")
 
 
 def quantile_bounds(values: DataFrame, column: str, low: float = 0.2, high: float = 0.8, digits: int = 1) -> DataFrame:
@@ -184,3 +243,30 @@ def quantile_filter(values: DataFrame, column: str, low: float = 0.2, high: floa
     rows = values.crossJoin(F.broadcast(quantile_bounds(values, column, low, high, digits)))  # one row
     inside = F.col(column).between(F.col("lo"), F.col("hi"))
     return rows.withColumn("keep", inside | (T.hash_bucket(F.col("doc_id"), seed) < int(keep_fraction * 1000)))
+
+
+def unigram_model(docs: DataFrame) -> DataFrame:
+    """``word, logp``: each word's log probability with one added to every count; the null word stands for all others."""
+    counts = stored(docs.select(F.explode(T.words(F.col("text"))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")), "unigrams")
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("t"), F.count(F.lit(1)).alias("v")).first()
+    below = float(total["t"] + total["v"] + 1)
+    other = counts.sparkSession.createDataFrame([(None, 0)], "word string, n bigint")
+    return counts.unionByName(other).select("word", F.log((F.col("n") + 1) / F.lit(below)).alias("logp"))
+
+
+def perplexity(docs: DataFrame, model: DataFrame, hot: int = 200_000) -> DataFrame:
+    """``doc_id, ppl``: exp of the mean negative log probability of a document's words. Ids name the documents.
+
+    Words are counted by document first. The ``hot`` likeliest words, which most rows have, meet the model in a
+    broadcast; only rarer ones are shuffled to theirs. Documents without words have no row.
+    """
+    other = model.where("word is null").first()["logp"]
+    known = model.where("word is not null")
+    # at most `hot` rows of a word and a number
+    top = stored(known.orderBy(F.desc("logp"), "word").limit(hot), "hot-words")
+    words = docs.select("doc_id", F.explode(T.words(F.col("text"))).alias("word")).groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("n"))
+    words = words.join(F.broadcast(top), "word", "left")
+    seen = words.where("logp is not null")
+    rest = words.where("logp is null").drop("logp").join(known.join(F.broadcast(top.select("word")), "word", "left_anti"), "word", "left").select("word", "doc_id", "n", F.coalesce("logp", F.lit(other)).alias("logp"))
+    sums = seen.unionByName(rest).groupBy("doc_id").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("logp")).alias("s"))
+    return sums.select("doc_id", F.exp(-F.col("s") / F.col("n")).alias("ppl"))

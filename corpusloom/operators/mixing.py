@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import base64
+import functools
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,6 +13,7 @@ from ..functions import text as T
 from .ordering import with_row_number, with_running_total
 
 BOS, EOS, FIRST_ID = 1, 2, 16
+GPT2_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
 def word_ids(text: Column, vocabulary: int = 49_152) -> Column:
@@ -16,8 +21,31 @@ def word_ids(text: Column, vocabulary: int = 49_152) -> Column:
     return F.transform(T.words(text), lambda w: (F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("bigint") % F.lit(vocabulary - FIRST_ID) + FIRST_ID).cast("int"))
 
 
-def tokenize(docs: DataFrame, bos: int = BOS, eos: int = EOS, ids=word_ids) -> DataFrame:
-    return docs.select("doc_id", F.concat(F.array(F.lit(bos)), ids(F.col("text")), F.array(F.lit(eos))).alias("input_ids"))
+def bpe_ids(path: str, pattern: str = GPT2_PATTERN):
+    """Ids of a byte-pair vocabulary in the tiktoken format; ``path`` must be readable on every executor."""
+
+    @F.pandas_udf("array<int>")
+    def ids(texts: pd.Series) -> pd.Series:
+        t = _encoding(path, pattern)
+        return texts.map(lambda x: None if x is None else t.encode_ordinary(x))
+
+    return ids
+
+
+@functools.lru_cache(2)
+def _encoding(path: str, pattern: str):
+    import tiktoken
+
+    with open(path, "rb") as f:
+        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
+    return tiktoken.Encoding("text", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+
+
+def tokenize(docs: DataFrame, bos: int = BOS, eos: int = EOS, ids=word_ids, carry: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id, input_ids`` between the two marks. Documents that are tokenised already are an error."""
+    if "input_ids" in docs.columns:
+        raise ValueError("the documents have input_ids already")
+    return docs.select(*carry, "doc_id", F.concat(F.array(F.lit(bos)), ids(F.col("text")), F.array(F.lit(eos))).alias("input_ids"))
 
 
 def pack(tokens: DataFrame, block: int = 2049, drop_last: bool = True) -> DataFrame:
@@ -37,7 +65,7 @@ def pack(tokens: DataFrame, block: int = 2049, drop_last: bool = True) -> DataFr
 
 
 def split(df: DataFrame, key: str = "doc_id", fractions: tuple = (("train", 80), ("val", 90), ("test", 100)), seed: str = "split") -> DataFrame:
-    """Add ``split`` by hash bucket; fractions are upper bounds in percent."""
+    """Add ``split`` by hash bucket; fractions are upper bounds in percent. :func:`holdout` takes any fraction."""
     b = T.hash_bucket(F.col(key), seed, 100)
     out: Column = F.lit(fractions[-1][0])
     for name, upto in reversed(fractions[:-1]):
@@ -45,6 +73,11 @@ def split(df: DataFrame, key: str = "doc_id", fractions: tuple = (("train", 80),
     return df.withColumn("split", out)
 
 
+def holdout(df: DataFrame, fraction: float, key: str = "doc_id", seed: str = "holdout") -> DataFrame:
+    """Add ``held``: a seeded share of the rows, any fraction to a billionth."""
+    return df.withColumn("held", T.hash_unit(F.col(key), seed) < F.lit(float(fraction)))
+
+
 def shuffle_take(df: DataFrame, n: int, key: str = "doc_id", seed: str = "20250801") -> DataFrame:
     """The first ``n`` rows of a seeded order."""
     return df.orderBy(F.md5(F.concat(F.lit(seed + ":"), F.col(key).cast("string"))), key).limit(n)

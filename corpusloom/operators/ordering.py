@@ -1,31 +1,48 @@
 """Global ranks and running sums without a single-partition window.
 
-Rows are put into buckets of neighbouring keys by cut points from an approximate percentile; each bucket is ranked on
-its own and gets the total of the buckets before it. The cut points only steer how even the buckets are.
+Only the keys (and weights) are ranked: they are written in ranges of neighbouring keys, about ``PER_RANGE`` rows each,
+every range is ranked on its own and gets the total of the ranges before it. The rows, with their texts, meet their
+ranks in one join, so no task has to take in more than its share of them.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import stored
+
+PER_RANGE = 1_000_000
+
 
-def with_running_total(df: DataFrame, key: str, out: str, weight: Column | None = None, buckets: int = 64) -> DataFrame:
-    """Add ``out``, the sum of ``weight`` (1 by default) over all rows with smaller keys; keys are numbers without ties.
+def with_running_total(df: DataFrame, key: str | list[str], out: str, weight: Column | None = None, per_range: int = PER_RANGE) -> DataFrame:
+    """Add ``out``, the sum of ``weight`` (1 by default) over all rows before this one in the order of ``key``.
 
-    Null keys come first. Cost: one pass over the key for the cuts, one for the bucket totals, one shuffle.
+    The key is a column or several, of any types that sort; nulls come first. It should name the rows: rows that share
+    one come one after the other, the lighter first, which takes a window over them.
     """
-    cuts = df.agg(F.percentile_approx(F.col(key), [i / buckets for i in range(1, buckets)], 1000).alias("c")).first()["c"] or []
-    bounds = F.array(*[F.lit(c) for c in sorted(set(cuts))]) if cuts else None
-    bucket = F.coalesce(F.size(F.filter(bounds, lambda b: b < F.col(key))), F.lit(0)) if cuts else F.lit(0)
-    rows = df.withColumn("_w", F.lit(1).cast("bigint") if weight is None else weight.cast("bigint")).withColumn("_b", F.when(F.col(key).isNull(), -1).otherwise(bucket))
-    totals = rows.groupBy("_b").agg(F.sum("_w").alias("_s"))
-    offsets = totals.withColumn("_o", F.sum("_s").over(Window.orderBy("_b")) - F.col("_s")).select(F.col("_b").alias("_k"), "_o")  # at most `buckets` + 1 rows
-    running = F.sum("_w").over(Window.partitionBy("_b").orderBy(key).rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = rows.withColumn("_r", running - F.col("_w")).join(F.broadcast(offsets), F.col("_b") == F.col("_k"))
-    return ranked.withColumn(out, F.col("_r") + F.col("_o")).drop("_w", "_b", "_r", "_k", "_o")
-
-
-def with_row_number(df: DataFrame, key: str, out: str, buckets: int = 64) -> DataFrame:
+    names = [key] if isinstance(key, str) else key
+    w = (F.lit(1) if weight is None else F.coalesce(weight, F.lit(0))).cast("bigint")
+    ks = [f"_k{i}" for i in range(len(names))]
+    keys = df.select(*[F.col(n).alias(k) for n, k in zip(names, ks)], w.alias("_w")).groupBy(*ks).agg(F.sum("_w").alias("_w"), F.count(F.lit(1)).alias("_n"))
+    sort = [F.col(k).asc_nulls_first() for k in ks]
+    ranges = max(1, -(-df.count() // per_range))
+    keys = keys.repartitionByRange(ranges, *sort) if ranges > 1 else keys.coalesce(1)
+    # written, as a range may be another one when it is worked out again
+    keys = stored(keys.withColumn("_b", F.spark_partition_id()), "ranges")
+    before = keys.groupBy("_b").agg(F.sum("_w").alias("_s"))
+    before = before.select("_b", (F.sum("_s").over(Window.orderBy("_b")) - F.col("_s")).alias("_before"))  # a row a range
+    upto = F.sum("_w").over(Window.partitionBy("_b").orderBy(*sort).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    first = keys.withColumn("_upto", upto).join(F.broadcast(before), "_b").select(*ks, "_n", (F.col("_before") + F.col("_upto") - F.col("_w")).alias("_at"))
+    rows = df.withColumn("_w", w).join(first, reduce(lambda a, b: a & b, [F.col(n).eqNullSafe(F.col(k)) for n, k in zip(names, ks)]))
+    if first.where("_n > 1").limit(1).count():
+        within = F.sum("_w").over(Window.partitionBy(*ks).orderBy("_w").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_w")
+        rows = rows.withColumn("_at", F.col("_at") + within)
+    return rows.withColumn(out, F.col("_at")).drop(*ks, "_w", "_n", "_at")
+
+
+def with_row_number(df: DataFrame, key: str | list[str], out: str, per_range: int = PER_RANGE) -> DataFrame:
     """Add the 1-based position of each row in the order of ``key``."""
-    return with_running_total(df, key, out, None, buckets).withColumn(out, F.col(out) + 1)
+    return with_running_total(df, key, out, None, per_range).withColumn(out, F.col(out) + 1)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..sources.shared import stored
+from .ordering import with_row_number
 
 
 def token_counts(docs: DataFrame) -> DataFrame:
@@ -21,6 +23,11 @@ def by_language(vocabulary: DataFrame, syllables: DataFrame, least_n: int = 1) -
     return v.join(missing, "token", "left").select("token", "n", F.col("_m").isNull().alias("in_language"))
 
 
+def cleaned(token: Column) -> Column:
+    """A token without punctuation at its edges; one of letters only is as it is."""
+    return F.when(token.rlike(r"^\p{L}+$"), token).otherwise(F.regexp_replace(token, r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", ""))
+
+
 def merge(new: DataFrame, base: DataFrame, whitelist: tuple[str, ...] = (), factor: int = 128) -> DataFrame:
     """The tokens to add, in order of frequency, cut to a multiple of ``factor``: ``token, rn``.
 
@@ -28,8 +35,7 @@ def merge(new: DataFrame, base: DataFrame, whitelist: tuple[str, ...] = (), fact
     itself (or capitalised, or in lower case) a new token; tokens of the base vocabulary go; ASCII words go unless
     whitelisted.
     """
-    clean = F.regexp_replace("token", r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", "")
-    rows = new.select("token", "n", F.when(F.col("token").rlike(r"^\p{L}+$"), F.col("token")).otherwise(clean).alias("c"))
+    rows = new.select("token", "n", cleaned(F.col("token")).alias("c"))
     rows = rows.where(F.col("c").rlike(r"^\p{L}+$"))
     variants = rows.withColumn("v", F.explode(F.array_distinct(F.array("c", T.capitalized(F.col("c")), F.lower("c")))))
     found = variants.join(new.select(F.col("token").alias("v")), "v", "left_semi").select("token").distinct()
@@ -37,8 +43,32 @@ def merge(new: DataFrame, base: DataFrame, whitelist: tuple[str, ...] = (), fact
     rows = rows.join(base.select(F.col("token").alias("c")).distinct(), "c", "left_anti")
     ascii_only = F.col("c").rlike("^[A-Za-z]+$")
     rows = rows.where(~ascii_only | F.lower("c").isin(*whitelist) if whitelist else ~ascii_only)
-    ranked = rows.select(F.col("c").alias("token"), F.row_number().over(Window.orderBy(F.desc("n"), "c")).alias("rn"), F.count(F.lit(1)).over(Window.partitionBy()).alias("all"))
-    return ranked.where(F.col("rn") <= F.expr(f"`all` div {factor}") * factor).select("token", "rn")
+    rows = stored(rows.select(F.col("c").alias("token"), (-F.col("n")).alias("rank")), "merged")
+    ranked = with_row_number(rows, ["rank", "token"], "rn")
+    return ranked.where(F.col("rn") <= rows.count() // factor * factor).select("token", "rn")
+
+
+def dropped(new: DataFrame, merged: DataFrame) -> DataFrame:
+    """``token``: the new tokens of which :func:`merge` kept no form."""
+    rows = new.select("token", cleaned(F.col("token")).alias("c"))
+    return rows.join(merged.select(F.col("token").alias("c")), "c", "left_anti").select("token")
+
+
+def added_count(base: DataFrame, extended: DataFrame) -> DataFrame:
+    """``n_added``: tokens of the extended vocabulary that the base one lacks."""
+    return extended.select("token").distinct().join(base.select("token"), "token", "left_anti").agg(F.count(F.lit(1)).alias("n_added"))
+
+
+def tokens_of_ids(ids: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """The token of each id; ids that the vocabulary lacks have a null one."""
+    return ids.join(vocabulary.select("token_id", "token"), "token_id", "left")
+
+
+def scan(vocabulary: DataFrame, syllables: DataFrame, least_id: int = 0, special: tuple[int, ...] = ()) -> DataFrame:
+    """``token_id, token`` of the tokens from ``least_id`` on that aren't special and whose syllables all are known."""
+    rows = vocabulary.where((F.col("token_id") >= least_id) & ~F.col("token_id").isin(*special))
+    good = by_language(rows.select("token", F.lit(1).alias("n")).distinct(), syllables).where("in_language").select("token")
+    return rows.join(good, "token", "left_semi").select("token_id", "token")
 
 
 def pair_counts(docs: DataFrame, least: int = 1) -> DataFrame:
@@ -56,13 +86,26 @@ def _joiner(a: str, b: str):
     return joined
 
 
-def train_merges(docs: DataFrame, merges: int, least: int = 2) -> list[tuple[str, str]]:
-    """Byte-pair merges over words: a bounded loop of pair counts, the words kept as distributed symbol lists."""
-    words = token_counts(docs).select(F.split("token", "").alias("s"), "n")
+def train_merges(docs: DataFrame, merges: int, least: int = 2, alphabet: int | None = None, prefix: str = "", dropout: float = 0.0, seed: str = "bpe") -> list[tuple[str, str]]:
+    """Byte-pair merges over words: a bounded loop of pair counts, the words kept as distributed symbol lists.
+
+    ``prefix`` is put before each word as the mark of its beginning. ``alphabet`` keeps the most frequent characters
+    only; others stand apart and never merge. ``dropout`` leaves each pair of a word out of a round's counts with that
+    probability, by a seeded hash.
+    """
+    words = token_counts(docs).select(F.split(F.concat(F.lit(prefix), F.col("token")), "").alias("s"), "n")
     words = words.select(F.filter("s", lambda x: x != "").alias("s"), "n")
+    if alphabet is not None:
+        letters = words.select("n", F.explode("s").alias("c")).groupBy("c").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "c").limit(alphabet).collect()
+        known = [r["c"] for r in letters]  # at most `alphabet` characters
+        words = words.withColumn("s", F.transform("s", lambda x: F.when(x.isin(*known), x)))
+    words = stored(words, "bpe-words")
     out: list[tuple[str, str]] = []
     for _ in range(merges):
         pairs = words.where(F.size("s") > 1).select("n", F.explode(F.arrays_zip(F.slice("s", F.lit(1), F.size("s") - 1).alias("l"), F.slice("s", F.lit(2), F.size("s") - 1).alias("r"))).alias("p"))
+        pairs = pairs.where("p.l is not null and p.r is not null")
+        if dropout:
+            pairs = pairs.where(F.pmod(F.xxhash64("p.l", "p.r", "n", F.lit(f"{seed}{len(out)}")), F.lit(1_000_000)) >= int(dropout * 1_000_000))
         best = pairs.groupBy("p.l", "p.r").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "l", "r").limit(1).collect()
         if not best or best[0]["n"] < least:
             break

@@ -122,19 +122,39 @@ def prompt_template(s, d):
 _WIKI = r"regexp_replace(regexp_replace(regexp_replace(regexp_replace({t}, '\{{\{{[^}}]+\}}\}}', '', 'g'), '(?m)^\s+(?:\{{\{{|\|).+\n', '', 'g'), '\([ ,;]*\)', '', 'g'), '(?ms)^(?:Liên kết ngoài|Tham khảo|Thể loại|Xem thêm|Đọc thêm).*', '', 'g')"
 
 
-@query("SELECT page_id, " + _WIKI.format(t="html") + " AS text FROM pages")
+#: What the tables lack is put around their texts, in Spark and in SQL alike, so that each rule has something to do.
+_AROUND = {
+    "wiki": ("{{Infobox|a=b}}head (, ;) x\n  | cell = 1\nbody {{cite}}\n", "\nTham khảo\ngone"),
+    "links": ("see [here](http://a.b/c?d=(e)) and [not this]( ", " [end](x)"),
+    "legal": ("**\\_\\_\\_** Điều 1/. [Luật](http://l) a\u00a0b ", " \\_"),
+    "odd": ("\u00a0  \t x\x1b[31mred\x1b[0m \x07“quote”… ", "，end！   \t  "),
+    "page": ('<meta http-equiv="refresh" content="0; url=https://r.example/x"><a href="https://j.example/a/issue/archive" target="_blank">"https://creativecommons.org/licenses/by/4.0/" ', "'http://creativecommons.org/publicdomain/zero/1.0/'"),
+}
+
+
+def _around(name: str, column: str):
+    before, after = _AROUND[name]
+    return F.concat(F.lit(before), F.col(column), F.lit(after))
+
+
+def _around_sql(name: str, table: str, key: str, column: str) -> str:
+    quoted = ["concat(" + ", ".join(f"chr({ord(c)})" if c < " " or c in "\\'\u00a0" else f"'{c}'" for c in x) + ")" for x in _AROUND[name]]
+    return f"(SELECT {key}, {quoted[0]} || {column} || {quoted[1]} AS {column} FROM {table})"
+
+
+@query("SELECT page_id, " + _WIKI.format(t="html") + f" AS text FROM {_around_sql('wiki', 'pages', 'page_id', 'html')}")
 def wiki_clean(s, d):
-    return read(s, d, "pages").select("page_id", T.wiki_clean(F.col("html")).alias("text"))
+    return read(s, d, "pages").select("page_id", T.wiki_clean(_around("wiki", "html")).alias("text"))
 
 
-@query(r"SELECT doc_id, regexp_replace(text, '\[([^\[\]]+)\]\(([^)]+)\)', '\1', 'g') AS text FROM documents")
+@query(r"SELECT doc_id, regexp_replace(text, '\[([^\[\]]+)\]\(([^)]+)\)', '\1', 'g') AS text FROM " + _around_sql("links", "documents", "doc_id", "text"))
 def md_links(s, d):
-    return read(s, d, "documents").select("doc_id", T.md_links(F.col("text")).alias("text"))
+    return read(s, d, "documents").select("doc_id", T.md_links(_around("links", "text")).alias("text"))
 
 
-@query(r"SELECT doc_id, replace(replace(regexp_replace(regexp_replace(text, '\**(?:\\_)+\**', '', 'g'), '\[([^\[\]]+)\]\(([^)]+)\)', '\1', 'g'), '/.', ''), chr(160), ' ') AS text FROM documents")
+@query(r"SELECT doc_id, replace(replace(regexp_replace(regexp_replace(text, '\**(?:\\_)+\**', '', 'g'), '\[([^\[\]]+)\]\(([^)]+)\)', '\1', 'g'), '/.', ''), chr(160), ' ') AS text FROM " + _around_sql("legal", "documents", "doc_id", "text"))
 def legal_clean(s, d):
-    return read(s, d, "documents").select("doc_id", T.legal_clean(F.col("text")).alias("text"))
+    return read(s, d, "documents").select("doc_id", T.legal_clean(_around("legal", "text")).alias("text"))
 
 
 _PUNCT_FROM, _PUNCT_TO = T.PUNCTUATION
@@ -142,10 +162,11 @@ _PUNCT_FROM, _PUNCT_TO = T.PUNCTUATION
 
 @query(
     r"SELECT doc_id, translate(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '\x1b\[[0-9;]*m', '', 'g'), '[\x00-\x08\x0B\x0E-\x1F\x7F]', '', 'g'), '^[ \r\t\x{A0}]{4,}([^-*+ \r\t\x{A0}\d])', '\1'), '[ \r\t\x{A0}]{4,}$', ''), "
-    + f"'{_PUNCT_FROM}', '{_PUNCT_TO.replace(chr(39), chr(39) * 2)}') AS text FROM documents"
+    + f"'{_PUNCT_FROM}', '{_PUNCT_TO.replace(chr(39), chr(39) * 2)}') AS text FROM "
+    + _around_sql("odd", "documents", "doc_id", "text")
 )
 def normalize_text(s, d):
-    return read(s, d, "documents").select("doc_id", T.normalize_text(F.col("text")).alias("text"))
+    return read(s, d, "documents").select("doc_id", T.normalize_text(_around("odd", "text")).alias("text"))
 
 
 @query(
@@ -181,9 +202,9 @@ def pii_redact(s, d):
 # filters
 
 
-@query("SELECT p_partkey, p_retailprice, round_even(p_retailprice / 400, 0) AS score FROM part WHERE round_even(p_retailprice / 400, 0) >= 3")
+@query("SELECT p_partkey, p_retailprice, round_even(p_retailprice / 200, 0) AS score FROM part WHERE round_even(p_retailprice / 200, 0) >= 3")
 def score_filter(s, d):
-    score = F.bround(F.col("p_retailprice") / 400, 0)
+    score = F.bround(F.col("p_retailprice") / 200, 0)
     return read(s, d, "part").select("p_partkey", "p_retailprice", score.alias("score")).where("score >= 3")
 
 
@@ -226,7 +247,7 @@ _LANG_SQL = (
 @query(_LANG_SQL + "SELECT doc_id, lang, detected, score, detected = lang AND score >= 0.05 AS keep FROM s")
 def lang_id(s, d):
     docs = read(s, d, "documents")
-    return docs.select("doc_id", "lang").join(filters.language_scores(docs, LANGUAGES), "doc_id").withColumn("keep", (F.col("detected") == F.col("lang")) & (F.col("score") >= 0.05))
+    return filters.language_scores(docs, LANGUAGES, ("lang",)).withColumn("keep", (F.col("detected") == F.col("lang")) & (F.col("score") >= 0.05))
 
 
 @query(_LANG_SQL + "SELECT CASE WHEN score > 0.05 THEN detected ELSE 'other' END AS label, count(*) AS n FROM s GROUP BY 1")
@@ -305,8 +326,8 @@ def fineweb_quality(s, d):
 FLAGGED = {"stupid": 4, "idiot": 5, "trash": None, "of the": 5, "to be": 2, "the and": 3}
 
 
-def _flagged_sql(mode: str) -> str:
-    weights = {w: 2.0 ** ((s or 3) - 5) * (len(w.split(" ")) - (mode == "as_written")) for w, s in FLAGGED.items()}
+def _flagged_sql(mode: str, scores: dict[str, int | None] = FLAGGED) -> str:
+    weights = {w: 2.0 ** ((s or 3) - 5) * (len(w.split(" ")) - (mode == "as_written")) for w, s in scores.items()}
     pattern = "|".join(sorted(weights, key=lambda w: (-len(w), w)))
     case = " ".join(f"WHEN '{w}' THEN {v}::DOUBLE" for w, v in weights.items())
     return (
@@ -383,13 +404,6 @@ def sentence_stats(s, d):
     return stats.summary(stats.doc_measures(read(s, d, "documents")), "n_sentences", ["source"])
 
 
-@query(f"SELECT lang, CAST(sum(n_words + 2) AS BIGINT) AS tokens, round(CAST(sum(n_words + 2) AS DOUBLE) / sum(n_words), 6) AS fertility FROM ({_M}) GROUP BY lang")
-def token_stats(s, d):
-    t = mixing.tokenize(read(s, d, "documents")).select("doc_id", F.size("input_ids").alias("k"))
-    m = read(s, d, "documents").select("lang", F.size(T.words(F.col("text"))).alias("n"), (F.size(T.words(F.col("text"))) + 2).alias("k"))
-    return m.groupBy("lang").agg(F.sum("k").cast("bigint").alias("tokens"), F.round(F.sum("k").cast("double") / F.sum("n"), 6).alias("fertility"))
-
-
 @query(f"SELECT {_HOST} AS key, count(*) AS n, CAST(sum(length(html)) AS BIGINT) AS total, round(avg(length(html)), 6) AS mean FROM pages GROUP BY 1 ORDER BY n DESC, key LIMIT 1000")
 def stats_by_domain(s, d):
     return stats.top_groups(read(s, d, "pages").withColumn("n_chars", F.length("html").cast("bigint")), T.host(F.col("url")), "n_chars", 1000)
@@ -424,9 +438,10 @@ _SIG = (
     f"h AS MATERIALIZED (SELECT doc_id, list_transform(list_distinct({WORDS}), lambda x: ('0x' || substr(md5(x), 1, 8))::BIGINT % {dedup.PRIME}) AS h FROM documents), "
     f"sig AS MATERIALIZED (SELECT doc_id, list_transform([{_AB}], lambda p: list_min(list_transform(h, lambda x: CAST((p.a::HUGEINT * x + p.b) % {dedup.PRIME} AS BIGINT)))) AS sig FROM h WHERE len(h) > 0)"
 )
-_BANDS = "bands AS MATERIALIZED (SELECT doc_id, unnest(range(16)) AS band, unnest(list_transform(range(16), lambda b: md5(array_to_string(sig[8 * b + 1 : 8 * b + 8], ',')))) AS bucket FROM sig)"
+_HEADS = "heads AS MATERIALIZED (SELECT doc_id, sig, min(doc_id) OVER (PARTITION BY sig) AS head FROM sig), copies AS (SELECT head AS id_a, doc_id AS id_b FROM heads WHERE head < doc_id)"
+_BANDS = "bands AS MATERIALIZED (SELECT doc_id, unnest(range(16)) AS band, unnest(list_transform(range(16), lambda b: md5(array_to_string(sig[8 * b + 1 : 8 * b + 8], ',')))) AS bucket FROM heads WHERE doc_id = head)"
 _CAND = "cand AS MATERIALIZED (SELECT DISTINCT a.doc_id AS id_a, b.doc_id AS id_b FROM bands a JOIN bands b ON a.band = b.band AND a.bucket = b.bucket AND a.doc_id < b.doc_id)"
-_NEAR = "near AS MATERIALIZED (SELECT * FROM (SELECT id_a, id_b, round(list_sum(list_transform(range(1, 129), lambda i: CASE WHEN a.sig[i] = b.sig[i] THEN 1 ELSE 0 END)) / 128.0::DOUBLE, 6) AS jaccard FROM cand JOIN sig a ON a.doc_id = id_a JOIN sig b ON b.doc_id = id_b) WHERE jaccard >= 0.85)"
+_NEAR = "near AS MATERIALIZED (SELECT * FROM (SELECT id_a, id_b, round(list_sum(list_transform(range(1, 129), lambda i: CASE WHEN a.sig[i] = b.sig[i] THEN 1 ELSE 0 END)) / 128.0::DOUBLE, 6) AS jaccard FROM cand JOIN sig a ON a.doc_id = id_a JOIN sig b ON b.doc_id = id_b) WHERE jaccard >= 0.85 UNION ALL SELECT id_a, id_b, 1.0::DOUBLE AS jaccard FROM copies)"
 
 
 @query(f"WITH {_SIG} SELECT doc_id, md5(array_to_string(sig, ',')) AS sig_md5 FROM sig")
@@ -434,18 +449,18 @@ def minhash_signature(s, d):
     return dedup.minhash(read(s, d, "documents")).select("doc_id", F.md5(F.array_join(F.transform("sig", lambda v: v.cast("string")), ",")).alias("sig_md5"))
 
 
-@query(f"WITH {_SIG}, {_BANDS}, {_CAND} SELECT * FROM cand")
+@query(f"WITH {_SIG}, {_HEADS}, {_BANDS}, {_CAND} SELECT * FROM cand UNION ALL SELECT * FROM copies")
 def minhash_candidates(s, d):
     return dedup.candidates(stored(dedup.minhash(read(s, d, "documents")), "signatures"))
 
 
-@query(f"WITH {_SIG}, {_BANDS}, {_CAND}, {_NEAR} SELECT * FROM near")
+@query(f"WITH {_SIG}, {_HEADS}, {_BANDS}, {_CAND}, {_NEAR} SELECT * FROM near")
 def near_dup_pairs(s, d):
     return dedup.near_pairs(read(s, d, "documents"))
 
 
 @query(
-    f"WITH RECURSIVE {_SIG}, {_BANDS}, {_CAND}, {_NEAR}, adj AS (SELECT id_b AS id, list(id_a) AS smaller FROM near GROUP BY 1), nodes AS (SELECT id, smaller, row_number() OVER (ORDER BY id) AS k FROM adj), "
+    f"WITH RECURSIVE {_SIG}, {_BANDS.replace('FROM heads WHERE doc_id = head', 'FROM sig')}, {_CAND}, {_NEAR.replace(' UNION ALL SELECT id_a, id_b, 1.0::DOUBLE AS jaccard FROM copies', '')}, adj AS (SELECT id_b AS id, list(id_a) AS smaller FROM near GROUP BY 1), nodes AS (SELECT id, smaller, row_number() OVER (ORDER BY id) AS k FROM adj), "
     "walk AS (SELECT 0::BIGINT AS k, []::BIGINT[] AS removed UNION ALL SELECT walk.k + 1, CASE WHEN len(list_filter(smaller, lambda x: NOT list_contains(removed, x))) > 0 THEN list_append(removed, id) ELSE removed END FROM walk JOIN nodes ON nodes.k = walk.k + 1) "
     "SELECT doc_id FROM documents WHERE NOT list_contains((SELECT removed FROM walk ORDER BY k DESC LIMIT 1), doc_id)"
 )
@@ -461,8 +476,10 @@ def exact_dedup(s, d):
 @query(
     f"""WITH r AS (SELECT doc_id, {WORDS} AS w FROM documents), k AS (SELECT doc_id, unnest(range(len(w) - 49)) AS pos, unnest({GRAMS(50)}) AS g FROM r WHERE len(w) >= 50),
 f AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id, pos) AS rn FROM k), l AS (SELECT doc_id, pos FROM f WHERE rn > 1),
-c AS (SELECT doc_id, count(*) AS c FROM (SELECT DISTINCT doc_id, unnest(range(pos, pos + 50)) AS i FROM l) GROUP BY 1)
-SELECT doc_id, len(w) AS n_words, len(w) - coalesce(c, 0) AS n_left, len(w) - coalesce(c, 0) >= 50 AS keep FROM r LEFT JOIN c USING (doc_id)"""
+c AS (SELECT doc_id, list(DISTINCT i) AS gone FROM (SELECT doc_id, unnest(range(pos, pos + 50)) AS i FROM l) GROUP BY 1),
+t AS (SELECT doc_id, text, regexp_extract_all(text, '\\s*\\S+') AS p FROM documents)
+SELECT doc_id, CASE WHEN gone IS NULL THEN text ELSE array_to_string(list_filter(p, lambda x, i: NOT list_contains(gone, i - 1)), '') END AS text, len(w) AS n_words, len(w) - coalesce(len(gone), 0) AS n_left, len(w) - coalesce(len(gone), 0) >= 50 AS keep
+FROM r LEFT JOIN c USING (doc_id) JOIN t USING (doc_id)"""
 )
 def substring_dedup(s, d):
     return dedup.substring_dedup(read(s, d, "documents"))
@@ -571,9 +588,9 @@ def chatml_nosys(s, d):
 # licences, pages, harvest records
 
 
-@query(r"""SELECT page_id, array_to_string(regexp_extract_all(html, '["''](https?://creativecommons\.org/(?:licenses|publicdomain)/[^"'']+)["'']', 1), ' ') AS licenses FROM pages""")
+@query(r"""SELECT page_id, array_to_string(regexp_extract_all(html, '["''](https?://creativecommons\.org/(?:licenses|publicdomain)/[^"'']+)["'']', 1), ' ') AS licenses FROM """ + _around_sql("page", "pages", "page_id", "html"))
 def license_extract(s, d):
-    return read(s, d, "pages").select("page_id", F.array_join(T.license_urls(F.col("html")), " ").alias("licenses"))
+    return read(s, d, "pages").select("page_id", F.array_join(T.license_urls(_around("page", "html")), " ").alias("licenses"))
 
 
 _LIC = r"regexp_extract_all(text, '(?i)(?:CC BY(?:-[A-Z]+)* 4\.0|MIT License|Apache License|General Public License)')"
@@ -590,10 +607,11 @@ def license_ok(s, d):
 
 
 @query(
-    r"""SELECT page_id, regexp_extract(html, '(?i)<meta\s+http-equiv=["'']?refresh["'']?\s+content=["''][^;"'']*;\s*url=([^"'']+)["'']', 1) AS refresh, CAST(len(regexp_extract_all(html, '<a href="([^"]+)/issue/archive" target="_blank">', 1)) AS INTEGER) AS n_external, regexp_extract(html, '(?is)<title>(.*?)</title>', 1) AS title FROM pages"""
+    r"""SELECT page_id, regexp_extract(html, '(?i)<meta\s+http-equiv=["'']?refresh["'']?\s+content=["''][^;"'']*;\s*url=([^"'']+)["'']', 1) AS refresh, CAST(len(regexp_extract_all(html, '<a href="([^"]+)/issue/archive" target="_blank">', 1)) AS INTEGER) AS n_external, regexp_extract(html, '(?is)<title>(.*?)</title>', 1) AS title FROM """
+    + _around_sql("page", "pages", "page_id", "html")
 )
 def html_extract(s, d):
-    h = F.col("html")
+    h = _around("page", "html")
     return read(s, d, "pages").select("page_id", T.meta_refresh(h).alias("refresh"), F.size(T.external_links(h)).alias("n_external"), F.regexp_extract(h, "(?is)<title>(.*?)</title>", 1).alias("title"))
 
 
@@ -614,9 +632,11 @@ def oai_filter(s, d):
     return usable_records(read(s, d, "pages").select("page_id", rel.alias("relation"), fmt.alias("format"))).select("page_id", "view_url", "download_url")
 
 
-@query("SELECT page_id, CASE WHEN contains(html, '/Text/') THEN 'text' WHEN contains(html, '/Image/') THEN 'scanned' ELSE 'unknown' END AS kind FROM pages")
+@query("SELECT page_id, CASE WHEN contains(c, '/Text/') THEN 'text' WHEN contains(c, '/Image/') THEN 'scanned' ELSE 'unknown' END AS kind FROM (SELECT page_id, html || CASE WHEN page_id % 3 = 0 THEN '/Font /Text/ /Image/' WHEN page_id % 3 = 1 THEN '/XObject /Image/' ELSE '' END AS c FROM pages)")
 def classify_kind(s, d):
-    return read(s, d, "pages").select("page_id", T.file_kind(F.col("html")).alias("kind"))
+    i = F.col("page_id") % 3
+    content = F.concat("html", F.when(i == 0, "/Font /Text/ /Image/").when(i == 1, "/XObject /Image/").otherwise(""))
+    return read(s, d, "pages").select("page_id", T.file_kind(content).alias("kind"))
 
 
 # vocabulary and embeddings
@@ -671,3 +691,6 @@ def moving_avg(s, d):
 @query("SELECT event_id, k AS key, json_extract_string(props, '$.' || k) AS value FROM (SELECT event_id, props, unnest(json_keys(props)) AS k FROM events)")
 def events_json(s, d):
     return read(s, d, "events").select("event_id", F.explode(F.from_json("props", "map<string,string>")).alias("key", "value"))
+
+
+from . import more_queries as _more  # noqa: E402, F401  (adds its queries)

@@ -33,6 +33,36 @@ def journals(csv: DataFrame, languages: str = "Vietnamese|English", licenses: tu
     return csv.where((F.col("country") == country) & (F.col("records") > least) & F.col("license").isin(*licenses) & F.col("languages").rlike(languages))
 
 
+def records_by_language(csv: DataFrame, subsets: dict[str, str]) -> DataFrame:
+    """``subset, records``: the records of the journals whose languages match each pattern."""
+    each = F.explode(F.array(*[F.struct(F.lit(k).alias("subset"), F.when(F.col("languages").rlike(p), F.col("records")).otherwise(0).alias("r")) for k, p in subsets.items()]))
+    return csv.select(each.alias("s")).groupBy("s.subset").agg(F.sum("s.r").cast("bigint").alias("records"))
+
+
+def totals(records: DataFrame) -> DataFrame:
+    """``n_records, n_journals``."""
+    return records.agg(F.count(F.lit(1)).alias("n_records"), F.count_distinct("journal").alias("n_journals"))
+
+
+def incompatible_count(records: DataFrame) -> DataFrame:
+    """How many records have no acceptable licence; one without any licence counts."""
+    return records.agg(F.sum((~T.license_ok(F.col("licenses"))).cast("bigint")).alias("n_incompatible"))
+
+
+def outcomes(results: DataFrame) -> DataFrame:
+    """By journal: downloads that ended well, that were there already, of a wrong kind, and that raised an error."""
+    n = lambda c: F.coalesce(F.sum(c.cast("bigint")), F.lit(0).cast("bigint"))
+    none = F.col("error").isNull()
+    return results.groupBy("journal").agg(
+        n(none & F.col("success")).alias("n_success"), n(none & F.col("already")).alias("n_already"), n(none & ~F.col("success")).alias("n_wrong_type"), n(~none).alias("n_errors")
+    )
+
+
+def to_compress(files: DataFrame, kinds: DataFrame, least_bytes: int) -> DataFrame:
+    """Files of at least ``least_bytes`` with their kind, ``unknown`` for those that weren't classified."""
+    return files.where(F.col("n_bytes") >= least_bytes).join(kinds, "path", "left").withColumn("kind", F.coalesce("kind", F.lit("unknown")))
+
+
 def with_texts(records: DataFrame, texts: DataFrame) -> DataFrame:
     """Records joined with their converted files; those without a file drop out."""
     return records.join(texts, "local_pdf_file")

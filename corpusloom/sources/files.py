@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,8 +39,10 @@ def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def read_instructions(spark: SparkSession, path: str) -> DataFrame:
-    """An instruction set as one JSON array; ``input`` is renamed as chat formatting expects it."""
-    return spark.read.schema("instruction string, input string, output string").option("multiLine", True).json(path).withColumnRenamed("input", "context")
+    """An instruction set as one JSON array: ``instruction, context, output``. A row of the kind that has its request in
+    ``input`` gets that as its instruction."""
+    rows = spark.read.schema("instruction string, input string, output string").option("multiLine", True).json(path)
+    return rows.select(F.coalesce("instruction", "input").alias("instruction"), F.when(F.col("instruction").isNotNull(), F.col("input")).alias("context"), "output")
 
 
 def write_jsonl(df: DataFrame, path: str, parts: int | None = None) -> None:
@@ -69,8 +74,56 @@ def shard_count(df: DataFrame, shard_bytes: int = 100_000_000) -> int:
     return max(1, estimated_size(df).first()["n_bytes"] // shard_bytes)
 
 
-def write_shards(df: DataFrame, path: str, shard_bytes: int = 100_000_000) -> None:
-    df.repartition(shard_count(df, shard_bytes)).write.mode("overwrite").parquet(path)
+def write_shards(df: DataFrame, path: str, shard_bytes: int = 100_000_000) -> int:
+    """Write ``df`` as ``part-0000.parquet`` and so on, as many files as its size asks for; gives their number.
+
+    Rows go to files by the hash of their position in no particular order, as evenly as it falls.
+    """
+    spark, n = df.sparkSession, shard_count(df, shard_bytes)
+    df.repartition(n).write.mode("overwrite").parquet(path)
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = sorted(s.getPath().getName() for s in fs.listStatus(target) if s.getPath().getName().startswith("part-"))
+    for i, name in enumerate(names):
+        fs.rename(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target, name), spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target, f"part-{i:04}.parquet"))
+    return len(names)
+
+
+def token_count(tokens: DataFrame) -> DataFrame:
+    """The size of tokenised documents: one token counts one."""
+    return tokens.agg(F.coalesce(F.sum(F.size("input_ids").cast("bigint")), F.lit(0).cast("bigint")).alias("n_tokens"))
+
+
+def concatenated(*parts: DataFrame) -> DataFrame:
+    """All rows of several sources; columns that one lacks are null there."""
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    return out
+
+
+def overlaid(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """The union of two keyed tables; where both have a key the right one's row counts."""
+    return left.join(right.select(key), key, "left_anti").unionByName(right)
+
+
+def save_resource(path: str, value) -> None:
+    """A small JSON resource of the driver's, indented by two."""
+    with open(path, "w", encoding="utf-8") as f:
+        json.dump(value, f, ensure_ascii=False, indent=2)
+
+
+def load_resource(path: str, default=None):
+    """What :func:`save_resource` wrote, or ``default`` where there is no such file."""
+    if not os.path.exists(path):
+        return default
+    with open(path, encoding="utf-8") as f:
+        return json.load(f)
+
+
+def read_blocks(spark: SparkSession, path: str, seed: int = 0) -> DataFrame:
+    """Packed token blocks in a seeded order."""
+    return spark.read.parquet(path).orderBy(F.xxhash64("block_id", F.lit(seed)), "block_id")
 
 
 def shard_plan(df: DataFrame, shard_bytes: int = 100_000_000) -> DataFrame:

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -39,3 +40,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: A side of a join is broadcast up to this many rows of a few bytes; beyond it the join shuffles.
+BROADCAST_ROWS = 2_000_000
+
+
+def sized(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """Mark ``df`` for broadcast if it has at most ``limit`` rows; larger sides keep the shuffle join."""
+    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
