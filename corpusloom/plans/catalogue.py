@@ -202,9 +202,9 @@ def pii_redact(s, d):
 # filters
 
 
-@query("SELECT p_partkey, p_retailprice, round_even(p_retailprice / 200, 0) AS score FROM part WHERE round_even(p_retailprice / 200, 0) >= 3")
+@query("SELECT p_partkey, p_retailprice, round_even(p_retailprice / 366, 0) AS score FROM part WHERE round_even(p_retailprice / 366, 0) >= 3")
 def score_filter(s, d):
-    score = F.bround(F.col("p_retailprice") / 200, 0)
+    score = F.bround(F.col("p_retailprice") / 366, 0)
     return read(s, d, "part").select("p_partkey", "p_retailprice", score.alias("score")).where("score >= 3")
 
 

@@ -1,13 +1,17 @@
 """Every query with SQL against DuckDB on the smallest tables, and hand-computed cases for the reference's quirks."""
 
 import os
+import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text as T
 from corpusloom.operators import dedup, filters, mixing, ordering, vocabulary
+from corpusloom.plans import curation, normalizers
 from corpusloom.plans.catalogue import QUERIES, SQL
+from corpusloom.sources import files, shared
 
 DATA = "/root/testdata/sf0.001"
 
@@ -66,6 +70,14 @@ def one(spark, value, f):
         (T.journal_key, "https://a.vn/vi", "a.vn"),
         (T.file_kind, "..../Image/..", "scanned"),
         (T.md_links, None, None),
+        (lambda c: T.meta_refresh(c), '<META http-equiv=refresh content="5; URL=https://a.b/c">', "https://a.b/c"),
+        (lambda c: F.array_join(T.license_urls(c), " "), "'https://creativecommons.org/licenses/by/4.0/' https://creativecommons.org/x", "https://creativecommons.org/licenses/by/4.0/"),
+        (lambda c: F.array_join(T.external_links(c), " "), '<a href="https://j.vn/a/issue/archive" target="_blank">', "https://j.vn/a"),
+        (T.friendly_name, "owner/Family-1.7B", "Family"),
+        (lambda c: T.inferred_endpoint(c, F.lit("x https://hub.vn/index.php/ab-c/y"), ".vn", "https://hub.vn/index.php/"), "https://j.vn/index", "https://hub.vn/index.php/ab-c"),
+        (lambda c: T.inferred_endpoint(c, F.lit("none"), ".vn", "https://hub.vn/index.php/"), "https://j.vn/", None),
+        (lambda c: T.inferred_endpoint(c, F.lit("none"), ".vn", "https://hub.vn/index.php/"), "https://j.vn/index.php/j", "https://j.vn/index.php/j/oai"),
+        (T.normalize_text, "\x1b[31mred\x1b[0m\x07", "red"),
     ],
 )
 def test_text(spark, f, given, wanted):
@@ -125,11 +137,151 @@ def test_split_is_a_partition(spark):
 
 def test_running_total_with_nulls(spark):
     df = spark.createDataFrame([(i,) for i in range(500, 0, -1)] + [(None,)], "k bigint").repartition(5)
-    got = {r.k: r.n for r in ordering.with_row_number(df, "k", "n", 7).collect()}
+    got = {r.k: r.n for r in ordering.with_row_number(df, "k", "n", 70).collect()}
     assert got == {None: 1} | {i: i + 1 for i in range(1, 501)}
     assert ordering.with_row_number(df.where("false"), "k", "n").count() == 0
 
 
+def test_ranks_of_strings_ties_and_weights(spark):
+    rows = [(f"id{i:03d}", i % 7, "t") for i in range(300)] + [("id005", 3, "again"), ("id005", 1, "once more"), (None, 4, "null"), (None, 2, None)]
+    df = spark.createDataFrame(rows, "k string, w int, _n string").repartition(4)
+    got = ordering.with_row_number(df, "k", "n", 40)
+    assert got.columns == [*df.columns, "n"] or set(got.columns) == {"k", "w", "n"}
+    assert sorted(r.n for r in got.collect()) == list(range(1, 305))
+    assert [r.k for r in got.orderBy("n").collect()] == sorted([k for k, *_ in rows], key=lambda k: (k is not None, k or ""))
+    total = 0
+    for r in ordering.with_running_total(df.drop("_n"), "k", "at", F.col("w"), 40).orderBy("at", "w").collect():
+        assert r["at"] == total
+        total += r.w
+    two = ordering.with_row_number(df.where("k is not null").drop("_n"), ["w", "k"], "n", 40).orderBy("n").collect()
+    assert [(r.w, r.k) for r in two] == sorted((w, k) for k, w, _ in rows if k is not None)
+
+
+def test_reasons_keep_every_row(spark):
+    docs = spark.createDataFrame([(1, "a", "src0"), (1, "a", "src0"), (1, "b", "src7"), (None, None, "src0")], "doc_id bigint, text string, source string")
+    got = curation.reasons(docs, ("src7",))
+    assert got.columns == ["doc_id", "text", "source", "reason"]
+    assert sorted((str(r.doc_id), r.reason) for r in got.collect()) == [("1", "gopher_quality"), ("1", "gopher_quality"), ("1", "url"), ("None", "gopher_quality")]
+    assert filters.language_scores(docs, {"en": ("a",)}).count() == 4
+
+
+def test_chain_on_odd_rows(spark):
+    text = "The cat is on the mat and it has been there for a while. It was not the only one of them to be so. That is what we have with it."
+    docs = spark.createDataFrame([(1, text, "x", "http://ok.org/1"), (1, text, "x", "http://bad.org/1"), (2, None, None, None), (3, "", "x", "not a url"), (4, text, "x", "http://www.bad.org")], "doc_id bigint, text string, reason string, link string")
+    block = spark.createDataFrame([("bad.org",)], "domain string")
+    judge = lambda d: curation.judge(d.withColumnRenamed("reason", "why"), F.col("link"), block, {"en": ("the", "is")}, ("en",), {"en": {"the cat": 5}}, quality={"low": 5}, flagged_keep=0, flagged_threshold=1.0)
+    got = judge(docs)
+    assert sorted((r.doc_id, r.link or "", r.reason) for r in got.collect()) == [(1, "http://bad.org/1", "url"), (1, "http://ok.org/1", "kept"), (2, "", "language"), (3, "not a url", "language"), (4, "http://www.bad.org", "url")]
+    assert judge(docs.limit(0)).count() == 0
+
+
+def test_repetition_against_counting(spark):
+    rng = random.Random(2)
+    docs = [(i, " ".join(rng.choice(["aa", "b", "ccc", "d"]) for _ in range(rng.randrange(0, 40)))) for i in range(120)] + [(900, ""), (901, "x"), (902, "é é é é é é é é é é é é")]
+    got = {r.doc_id: r for r in filters.gopher_repetition(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()}
+    for i, t in docs:
+        w = t.split()
+        for n in (2, 3, 4):
+            counts = Counter(zip(*(w[k:] for k in range(n))))
+            most = max(counts.values(), default=0)
+            want = 0 if most < 2 else most * max(len(" ".join(g)) for g, c in counts.items() if c == most)
+            assert got[i][f"top_{n}"] == (round(want / len(t), 6) if t else 0)
+        for n in range(5, 11):
+            counts = Counter(zip(*(w[k:] for k in range(n))))
+            covered = {p for k in range(len(w) - n + 1) if counts[tuple(w[k : k + n])] > 1 for p in range(k, k + n)}
+            chars = sum(map(len, w))
+            assert got[i][f"dup_{n}"] == (round(sum(len(w[p]) for p in covered) / chars, 6) if chars else 0)
+
+
+def test_normalizers(spark):
+    rows = spark.createDataFrame([("a1", "T", '{"author": "X", "year": "1900"}', "Title\nthe cat\nsat.\nNext"), ("a2", None, "no json", None)], normalizers.SOURCES["gutenberg_en"].schema)
+    got = {r.metadata["dataset_generated_id"]: r for r in normalizers.normalize(rows, "gutenberg_en").collect()}
+    assert all(r.id % 1000 == 10 for r in got.values()) and len({r.id for r in got.values()}) == 2
+    assert got["a1"].text == "the catsat.\nNext" and got["a1"].url is None
+    assert got["a1"].metadata == {"url": "https://gutenberg-en.example/a1", "title": "T", "author": "X", "year": "1900", "origin": "gutenberg_en", "dataset_generated_id": "a1"}
+    assert got["a2"].text is None and got["a2"].metadata["title"] is None
+    mtet = normalizers.normalize(spark.createDataFrame([("p", "r")], normalizers.SOURCES["mtet"].schema), "mtet").first()
+    assert mtet.url == f"https://mtet.example/{mtet.id}" and set(mtet.metadata) == {"origin", "dataset_generated_id"}
+    for name, source in normalizers.SOURCES.items():
+        assert normalizers.normalize(spark.createDataFrame([], source.schema), name).columns == ["id", "text", "url", "metadata"]
+    with pytest.raises(KeyError):
+        normalizers.language_of("europarl_en")
+
+
+def test_perplexity(spark):
+    import math
+
+    docs = spark.createDataFrame([(1, "a a b"), (2, "z"), (3, ""), (4, None)], "doc_id bigint, text string")
+    model = filters.unigram_model(docs.where("doc_id = 1"))
+    # counts 2 and 1, two words and the unknown one: (c + 1) / (3 + 2 + 1)
+    want = {1: math.exp(-(2 * math.log(3 / 6) + math.log(2 / 6)) / 3), 2: 6.0}
+    for hot in (0, 1, 10):
+        assert {r.doc_id: round(r.ppl, 9) for r in filters.perplexity(docs, model, hot).collect()} == {k: round(v, 9) for k, v in want.items()}
+    kept = curation.perplexity_filter(docs, model, F.lit(None).cast("string"))
+    assert {r.doc_id: r.keep for r in kept.collect()} == dict.fromkeys((1, 2, 3, 4), True)
+
+
+def test_substring_dedup_cuts_the_text(spark):
+    shared = " ".join(f"s{i}" for i in range(60))
+    docs = spark.createDataFrame([(1, f"one\n{shared} end"), (2, f"  two {shared}\n\nlast  "), (3, "short"), (4, None), (5, f"{shared} {shared}")], "doc_id bigint, text string")
+    got = {r.doc_id: (r.text, r.n_words, r.n_left, r.keep) for r in dedup.substring_dedup(docs).collect()}
+    assert got[1] == (f"one\n{shared} end", 62, 62, True) and got[3] == ("short", 1, 1, False)
+    assert got[2] == ("  two\n\nlast", 62, 2, False) and got[4] == (None, 0, 0, False) and got[5] == ("", 120, 0, False)
+
+
+def test_files_and_resources(spark, tmp_path):
+    path = str(tmp_path / "r.json")
+    assert files.load_resource(path, {}) == {}
+    files.save_resource(path, {"é": [1]})
+    assert files.load_resource(path) == {"é": [1]} and '\n  "é"' in open(path).read()
+    (tmp_path / "i.json").write_text('[{"instruction": "a", "input": "b", "output": "c"}, {"input": "d", "output": "e"}]')
+    assert sorted(map(tuple, files.read_instructions(spark, str(tmp_path / "i.json")).collect())) == [("a", "b", "c"), ("d", None, "e")]
+    spark.range(20).withColumnRenamed("id", "block_id").write.parquet(str(tmp_path / "b"))
+    order = [r.block_id for r in files.read_blocks(spark, str(tmp_path / "b"), 1).collect()]
+    assert sorted(order) == list(range(20)) and order != sorted(order) and order == [r.block_id for r in files.read_blocks(spark, str(tmp_path / "b"), 1).collect()]
+
+
+def test_no_folder_of_its_own_on_a_cluster():
+    class Cluster:
+        class conf:
+            get = staticmethod(lambda k, d: d)
+
+        class sparkContext:
+            master = "spark://host:7077"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared.shared_dir(Cluster)
+
+
+@pytest.mark.skipif(not os.path.exists("/opt/tokenizers/byte_bpe_50k.tiktoken"), reason="no vocabulary")
+def test_real_tokens(spark):
+    docs = spark.createDataFrame([(1, "The cat's 12 mats"), (2, "")], "doc_id bigint, text string")
+    ids = mixing.bpe_ids("/opt/tokenizers/byte_bpe_50k.tiktoken")
+    t = mixing._encoding("/opt/tokenizers/byte_bpe_50k.tiktoken", mixing.GPT2_PATTERN)
+    got = mixing.tokenize(docs, ids=ids)
+    assert {r.doc_id: r.input_ids for r in got.collect()} == {1: [1, *t.encode_ordinary("The cat's 12 mats"), 2], 2: [1, 2]}
+    with pytest.raises(ValueError):
+        mixing.tokenize(got)
+
+
+@pytest.mark.skipif(not os.path.isdir(DATA) or not os.path.exists("/opt/tokenizers/byte_bpe_50k.tiktoken"), reason="no test tables")
+def test_token_stats(spark, duck):
+    t = mixing._encoding("/opt/tokenizers/byte_bpe_50k.tiktoken", mixing.GPT2_PATTERN)
+    n, words = Counter(), Counter()
+    for lang, text in duck.sql("SELECT lang, text FROM documents").fetchall():
+        n[lang] += len(t.encode_ordinary(text)) + 2
+        words[lang] += len(text.split())
+    got = {r.lang: (r.tokens, r.fertility) for r in QUERIES["token_stats"](spark, DATA).collect()}
+    assert got == {k: (n[k], round(n[k] / words[k], 6)) for k in n}
+
+
+def test_merges_with_an_alphabet_and_a_prefix(spark):
+    docs = spark.createDataFrame([(1, "low low low lox qq")], "doc_id bigint, text string")
+    assert vocabulary.train_merges(docs, 1, alphabet=3) == [("l", "o")]
+    assert vocabulary.train_merges(docs, 2, alphabet=2, prefix="Ġ") != vocabulary.train_merges(docs, 2)
+    assert vocabulary.train_merges(docs, 3, dropout=1.0) == []
+
+
 def test_vocabulary(spark):
     new = spark.createDataFrame([(f"từ{'a' * i}", 300 - i) for i in range(300)], "token string, n bigint")
     assert vocabulary.merge(new, spark.createDataFrame([("x",)], "token string")).count() == 256
