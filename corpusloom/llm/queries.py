@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from .exact_dedup import exact_dedup
 from .license_scan import scan_licenses
-from .lm_scoring import lm_scores
+from .lm_scoring import corpus_scores
 from .ngram_join import N, THRESHOLD, ngram_jaccard_join
 from .packing import best_fit_packing
 from .piece_coding import encode_pieces
@@ -33,7 +33,7 @@ def queries() -> dict:
         "op7_license_scan": lambda s, d: scan_licenses(table(s, d, "documents")),
         "op8_exact_dedup": lambda s, d: exact_dedup(table(s, d, "documents")),
         "op9_piece_coding": lambda s, d: encode_pieces(table(s, d, "documents")),
-        "op10_lm_scoring": lambda s, d: lm_scores(table(s, d, "documents"), table(s, d, "labels").where("quality = 1")),
+        "op10_lm_scoring": lambda s, d: corpus_scores(table(s, d, "documents"), table(s, d, "labels").where("quality = 1")),
     }
 
 

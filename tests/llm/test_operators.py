@@ -558,3 +558,57 @@ def test_lm_scoring(spark, docs):
     same = lm_scoring.lm_scores(docs, chosen.limit(0)).collect()
     assert len(same) == len(rows()) and all(r.score == 0 for r in same)
     assert lm_scoring.lm_scores(empty(spark), chosen).count() == 0
+
+
+@pytest.mark.parametrize("per_fragment,most_docs", [(1_000_000, 20_000), (40, 7)])
+def test_corpus_scores_against_brute_force(spark, docs, per_fragment, most_docs):
+    data = [(r.doc_id, r.text) for r in docs.collect()]
+    inside = {*range(0, 30, 2), 101, 200, 201}
+    count = {"n": Counter(), "n_in": Counter()}
+    rows_of, in_of = defaultdict(set), defaultdict(set)
+    cut = {}
+    for k, (i, t) in enumerate(data):
+        for w in (t or "").split():
+            count["n"][w] += 1
+            count["n_in"][w] += i in inside
+        cut[k] = lm_scoring.cut_pieces((t or "").encode())
+        assert b"".join(cut[k]) == (t or "").encode()
+        for p in cut[k]:
+            rows_of[p].add(k)
+            if i in inside:
+                in_of[p].add(k)
+
+    def words(c):
+        out, used = [], 0
+        for w in sorted((w for w in c if c[w]), key=lambda w: (-c[w] * len(w.encode()), w)):
+            if used + len(w.encode()) + 1 > 3000:
+                break
+            out.insert(0, w)
+            used += len(w.encode()) + 1
+        return lm_scoring.sizer("".join(w + " " for w in out).encode(), 1 << 30)
+
+    in_words, all_words = words(count["n_in"]), words(count["n"])
+    own = lambda p: lm_scoring.sizer(p, len(p))(p) if len(p) >= 8 else 99
+    want = Counter()
+    for k, (i, _) in enumerate(data):
+        x = sum(min(in_words(p), own(p)) if in_of[p] - {k} else in_words(p) for p in cut[k])
+        y = sum(min(all_words(p), own(p)) if len(rows_of[p]) > 1 else all_words(p) for p in cut[k])
+        want[(i, x, y, round((y - x) / y, 6) if y else 0.0)] += 1
+    chosen = spark.createDataFrame([(i,) for i in inside] + [(None,), (0,)], "doc_id bigint")
+    got = lm_scoring.corpus_scores(clashing(docs), chosen, 3000, per_fragment=per_fragment, most_docs=most_docs).collect()
+    assert Counter(tuple(r) for r in got) == want
+    same = lm_scoring.corpus_scores(docs, chosen.limit(0), 3000).collect()
+    assert len(same) == len(data) and all(r.score == 0 for r in same)
+    assert lm_scoring.corpus_scores(empty(spark), chosen).count() == 0
+    blank = lm_scoring.corpus_scores(spark.createDataFrame([(1, None), (None, ""), (1, None)], "doc_id bigint, text string"), chosen).collect()
+    assert Counter(tuple(r) for r in blank) == {(1, 0, 0, 0.0): 2, (None, 0, 0, 0.0): 1}
+
+
+def test_corpus_scores_notice_a_second_copy(spark):
+    rng = random.Random(5)
+    data = [(i, text(rng, 300)) for i in range(60)]
+    data += [(100 + i, data[i][1]) for i in range(10)] + [(200 + i, "in between " + " ".join(data[20 + i][1].split()[50:250]) + " something else") for i in range(5)]
+    got = {r.doc_id: r.general_size / len(t) for r, t in ((r, dict(data)[r.doc_id]) for r in lm_scoring.corpus_scores(spark.createDataFrame(data, "doc_id bigint, text string"), spark.createDataFrame([], "doc_id bigint"), 2000).collect())}
+    once = min(v for i, v in got.items() if 30 <= i < 60)
+    assert max(v for i, v in got.items() if i < 10 or 100 <= i < 110) < 0.4 * once
+    assert max(v for i, v in got.items() if i >= 200) < once
