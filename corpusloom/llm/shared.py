@@ -7,11 +7,21 @@ from pyspark.sql import functions as F
 
 from ..sources.shared import fresh_path, shared_dir, stored
 
-__all__ = ["fresh_path", "shared_dir", "stored", "table", "with_sized_broadcast"]
+__all__ = ["bound_batches", "fresh_path", "shared_dir", "stored", "table", "with_sized_broadcast"]
 
 #: A side of a join is broadcast up to this many rows of a few bytes; beyond it the join shuffles.
 BROADCAST_ROWS = 2_000_000
 
+#: Bytes of the Arrow batches that texts travel in. The JVM and the Python worker hold such a batch several times over.
+ARROW_BYTES = 8 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Set the session's bound on Arrow batches to ``ARROW_BYTES``, unless the session has a bound of its own."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if key not in spark.conf.getAll:
+        spark.conf.set(key, str(ARROW_BYTES))
+
 
 def with_sized_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Mark ``df`` for broadcast if it has at most ``limit`` rows; larger sides keep the shuffle join."""

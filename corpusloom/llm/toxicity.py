@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .ngram_join import ngram_set
-from .shared import stored
+from .shared import bound_batches, stored
 
 WINDOW, SAMPLE, SAMPLE_BYTES, ORDINARY_WORDS, LEAST = 32, 4000, 64_000_000, 400, 5
 ODDS, SHARE = 20, 0.01
@@ -158,6 +158,7 @@ def fit(rows: list[tuple[int, str, int]], window: int = WINDOW, ordinary_words:
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, window: int = WINDOW, sample_bytes: int = SAMPLE_BYTES) -> Model | None:
     """Fit on at most ``sample`` labelled documents and ``sample_bytes`` of text of each class."""
+    bound_batches(docs.sparkSession)
     flags = labels.select("doc_id", F.col("toxic").cast("int").alias("flag")).where("doc_id is not null and flag is not null").groupBy("doc_id").agg(F.max("flag").alias("flag"))
     sized = docs.select("doc_id", F.octet_length(F.col("text").cast("string")).alias("n")).where("n > 0").join(flags, "doc_id").groupBy("doc_id").agg(F.max("n").alias("n"), F.max("flag").alias("flag"))
     picked = None
