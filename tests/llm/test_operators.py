@@ -2,6 +2,7 @@
 
 import random
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -125,6 +126,50 @@ def test_ngram_join_of_long_near_copies(spark):
         assert classes(ngram_join.ngram_jaccard_join(df, 5, j + 1e-7, small=small)) == {1: (1, 0), 2: (2, 0), 3: (3, 0)}
 
 
+def test_ngram_join_sends_few_bytes_a_member():
+    """Every document twice, so that all members are shared and everything comes back; the widest case for the disks."""
+    rng = random.Random(5)
+    texts = [text(rng, 400) for _ in range(150)] * 2
+    batch = ngram_join.pa.RecordBatch.from_arrays([ngram_join.pa.array(range(300)), ngram_join.pa.array(texts)], names=["doc_id", "text"])
+    members = sum(len(ngram_join.ngram_set(t)) for t in texts)
+    sent = list(ngram_join._cut(5, 4, 40_000, 60_000)([batch]))
+    assert len(sent) == 3
+    sent = ngram_join.pa.Table.from_batches(sent).sort_by("fragment")
+    column = sent["fragment"].to_numpy()
+    shared = ngram_join.pa.concat_tables([ngram_join._share(sent.filter(ngram_join.pa.array(column == f))) for f in sorted(set(column.tolist()))])
+    column = shared["batch"].to_numpy()
+    kept = ngram_join.pa.concat_tables([ngram_join._gather(0.5)(shared.filter(ngram_join.pa.array(column == b))) for b in sorted(set(column.tolist()))])
+
+    def size(table):
+        return sum(len(x.as_py() or b"") for c, t in zip(table.column_names, table.schema.types) if t == "binary" for x in table[c]) / members
+
+    assert sum(kept["n_shared"].to_pylist()) == members
+    names = {i: m.tolist() for i, m in zip(kept["doc_id"].to_pylist(), ngram_join._members(kept["members"]))}
+    assert all(names[i] == names[i + 150] and len(set(names[i])) == len(ngram_join.ngram_set(texts[i])) for i in range(150))
+    assert size(sent) < 11 and size(shared) < 8 and size(kept) < 6.1
+
+
+@pytest.mark.parametrize("low,top", [(5, 1 << 48), (2, 1 << 21), (2, 3)])
+def test_packed_numbers(low, top):
+    rng = np.random.default_rng(1)
+    for n in (1, 7, 1000):
+        x = np.sort(rng.integers(0, top, n, dtype=np.uint64))
+        assert (ngram_join._unpack(ngram_join._pack(x, low), n, low) == x).all()
+        for docs in (1, 2, 700, 60_000):
+            o = rng.integers(0, docs, n).astype(np.uint16)
+            assert (ngram_join._unpack_bits(ngram_join._pack_bits(o, ngram_join._width(docs)), n, ngram_join._width(docs)) == o).all()
+
+
+def test_ngram_join_leaves_no_large_tables(spark, docs):
+    cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    folder, before = Path(ngram_join.shared_dir(spark).removeprefix("file://")), spark.conf.get(cleanup)
+    known = set(folder.iterdir())
+    assert classes(ngram_join.ngram_jaccard_join(clashing(docs))) == brute_classes(rows(), 0.5, 5)
+    left = {p.name.rpartition("-")[0] for p in set(folder.iterdir()) - known}
+    assert "distinct-sets" in left and not left & {"ngram-replies", "ngram-sets"}
+    assert spark.conf.get(cleanup) == before
+
+
 def test_ngram_join_with_several_texts_of_a_doc_id(spark):
     a, b = "one two three four five six seven", "eins zwei drei vier fuenf sechs sieben"
     df = spark.createDataFrame([(1, a), (2, b), (3, a), (3, b), (4, "quite another text")], "doc_id bigint, text string")
