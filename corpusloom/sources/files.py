@@ -34,8 +34,18 @@ def read_json_metadata(spark: SparkSession, path: str, keys: tuple[str, ...]) ->
     return df.select("id", "text", *[F.col("metadata")[k].alias(k) for k in keys])
 
 
+#: How :func:`write_csv` and :func:`read_csv` quote, so that white space at a value's ends, empty values and nulls survive.
+#: A null is a private-use character that no text consists of.
+CSV = {"header": True, "escape": '"', "emptyValue": "", "nullValue": "\ue000", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
+def write_csv(df: DataFrame, path: str) -> None:
+    df.write.mode("overwrite").options(**CSV).option("quoteAll", True).csv(path)
+
+
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return spark.read.schema(schema).option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+    """Values as they are written; a field without anything between its commas is null as well."""
+    return spark.read.schema(schema).options(**CSV).option("multiLine", True).csv(path)
 
 
 def read_instructions(spark: SparkSession, path: str) -> DataFrame:

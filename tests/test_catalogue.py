@@ -241,6 +241,14 @@ def test_files_and_resources(spark, tmp_path):
     assert sorted(order) == list(range(20)) and order != sorted(order) and order == [r.block_id for r in files.read_blocks(spark, str(tmp_path / "b"), 1).collect()]
 
 
+def test_csv_keeps_every_value(spark, tmp_path):
+    texts = [" lead", "trail \n", "\n\nx\r\ny\rz", 'q"u""o,te" \\" \\', "", None, " \t ", "\r", "nul\x00l\x01", "\\N", '""']
+    rows = [(i, t, u) for i, (t, u) in enumerate(zip(texts, texts[::-1]))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    assert sorted(map(tuple, QUERIES["csv_roundtrip"](spark, str(tmp_path)).collect())) == rows
+
+
 def test_no_folder_of_its_own_on_a_cluster():
     class Cluster:
         class conf:
