@@ -58,9 +58,13 @@ def outcomes(results: DataFrame) -> DataFrame:
     )
 
 
-def to_compress(files: DataFrame, kinds: DataFrame, least_bytes: int) -> DataFrame:
-    """Files of at least ``least_bytes`` with their kind, ``unknown`` for those that weren't classified."""
-    return files.where(F.col("n_bytes") >= least_bytes).join(kinds, "path", "left").withColumn("kind", F.coalesce("kind", F.lit("unknown")))
+def to_compress(files: DataFrame, kinds: DataFrame, least_bytes: int, key: str = "path") -> DataFrame:
+    """Files of at least ``least_bytes`` with their kind, ``unknown`` for those that weren't classified.
+
+    ``key`` names a file in both; one that is classified several times has one row, with the first kind by name.
+    """
+    kinds = kinds.groupBy(key).agg(F.min("kind").alias("kind"))
+    return files.where(F.col("n_bytes") >= least_bytes).join(kinds, key, "left").withColumn("kind", F.coalesce("kind", F.lit("unknown")))
 
 
 def with_texts(records: DataFrame, texts: DataFrame) -> DataFrame:

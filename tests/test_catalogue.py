@@ -249,6 +249,13 @@ def test_csv_keeps_every_value(spark, tmp_path):
     assert sorted(map(tuple, QUERIES["csv_roundtrip"](spark, str(tmp_path)).collect())) == rows
 
 
+def test_files_of_one_address(spark, tmp_path):
+    pages = spark.createDataFrame([(1, "u", "a" * 2000), (2, "u", "b" * 2500), (4, "u", "c" * 3000), (6, "v", "d")], "page_id bigint, url string, html string")
+    pages.write.parquet(str(tmp_path / "pages.parquet"))
+    got = sorted((r.path, r.n_bytes, r.kind) for r in QUERIES["files_to_compress"](spark, str(tmp_path)).collect())
+    assert got == [("u", 2000, "unknown"), ("u", 2500, "scanned"), ("u", 3000, "scanned")]
+
+
 def test_no_folder_of_its_own_on_a_cluster():
     class Cluster:
         class conf:
