@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..sources.shared import sized, stored
+from ..sources.shared import BROADCAST_ROWS, sized, stored
 from .dedup import rolling_hashes
 
 GOPHER_STOP_WORDS = ("the", "be", "to", "of", "and", "that", "have", "with")
@@ -254,19 +254,31 @@ def unigram_model(docs: DataFrame) -> DataFrame:
     return counts.unionByName(other).select("word", F.log((F.col("n") + 1) / F.lit(below)).alias("logp"))
 
 
-def perplexity(docs: DataFrame, model: DataFrame, hot: int = 200_000) -> DataFrame:
+def perplexity(docs: DataFrame, model: DataFrame, hot: int = 200_000, limit: int = BROADCAST_ROWS) -> DataFrame:
     """``doc_id, ppl``: exp of the mean negative log probability of a document's words. Ids name the documents.
 
-    Words are counted by document first. The ``hot`` likeliest words, which most rows have, meet the model in a
-    broadcast; only rarer ones are shuffled to theirs. Documents without words have no row.
+    A model of at most ``limit`` words is broadcast, so that words are looked up where they are and a row a document is
+    shuffled. Of a larger one the ``hot`` likeliest words are, which most rows have; only rarer ones are shuffled to
+    theirs. Sums are exact, whatever the order: log probabilities are added as whole numbers of 2^-30 and of 2^-60.
+    Documents without words have no row.
     """
-    other = model.where("word is null").first()["logp"]
-    known = model.where("word is not null")
-    # at most `hot` rows of a word and a number
-    top = stored(known.orderBy(F.desc("logp"), "word").limit(hot), "hot-words")
-    words = docs.select("doc_id", F.explode(T.words(F.col("text"))).alias("word")).groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("n"))
-    words = words.join(F.broadcast(top), "word", "left")
-    seen = words.where("logp is not null")
-    rest = words.where("logp is null").drop("logp").join(known.join(F.broadcast(top.select("word")), "word", "left_anti"), "word", "left").select("word", "doc_id", "n", F.coalesce("logp", F.lit(other)).alias("logp"))
-    sums = seen.unionByName(rest).groupBy("doc_id").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("logp")).alias("s"))
-    return sums.select("doc_id", F.exp(-F.col("s") / F.col("n")).alias("ppl"))
+    unit = float(1 << 30)
+    parts = lambda x: [F.floor(x * unit).alias("hi"), F.round((x * unit - F.floor(x * unit)) * unit).cast("bigint").alias("lo")]
+    other = model.where("word is null").select(*parts(F.col("logp"))).first()
+    known = model.where("word is not null").select("word", *parts(F.col("logp")), "logp")
+    whole = known.limit(limit + 1).count() <= limit
+    # at most `limit` or `hot` rows of a word and two numbers
+    top = known.drop("logp") if whole else stored(known.orderBy(F.desc("logp"), "word").limit(hot).drop("logp"), "hot-words")
+    words = docs.select("doc_id", F.explode(T.words(F.col("text"))).alias("word")).join(F.broadcast(top), "word", "left")
+    if whole:
+        rows = words.select("doc_id", F.lit(1).alias("n"), F.coalesce("hi", F.lit(other["hi"])).alias("hi"), F.coalesce("lo", F.lit(other["lo"])).alias("lo"))
+    else:
+        # a row for the hot words of a document, and one for each other word
+        rare = F.when(F.col("hi").isNull(), F.col("word"))
+        sums = stored(words.groupBy("doc_id", rare.alias("word")).agg(F.count(F.lit(1)).alias("n"), F.sum("hi").alias("hi"), F.sum("lo").alias("lo")), "words")
+        cold = known.join(F.broadcast(top.select("word")), "word", "left_anti").select("word", F.col("hi").alias("_hi"), F.col("lo").alias("_lo"))
+        rest = sums.where("word is not null").drop("hi", "lo").join(cold, "word", "left")
+        rest = rest.select("doc_id", "n", *[(F.col("n") * F.coalesce(f"_{c}", F.lit(other[c]))).alias(c) for c in ("hi", "lo")])
+        rows = sums.where("word is null").drop("word").unionByName(rest)
+    sums = rows.groupBy("doc_id").agg(F.sum("n").alias("n"), F.sum("hi").alias("hi"), F.sum("lo").alias("lo"))
+    return sums.select("doc_id", F.exp(-(F.col("hi") / F.lit(unit) + F.col("lo") / F.lit(unit * unit)) / F.col("n")).alias("ppl"))

@@ -221,6 +221,22 @@ def test_perplexity(spark):
     assert {r.doc_id: r.keep for r in kept.collect()} == dict.fromkeys((1, 2, 3, 4), True)
 
 
+def test_perplexity_filter_leaves_out_texts_without_words(spark, tmp_path):
+    rows = [(1, "a a b", "en", "src1"), (2, "z", "de", "src2"), (3, "", "en", "src3"), (4, None, "en", "src4"), (5, " \n", "en", "src5")]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    assert sorted(r.doc_id for r in QUERIES["perplexity_filter"](spark, str(tmp_path)).collect()) == [1, 2]
+
+
+def test_perplexity_in_any_order(spark):
+    rng = random.Random(5)
+    words = [f"w{min(int(rng.paretovariate(0.4)), 900)}" for _ in range(3000)]
+    docs = spark.createDataFrame([(i, " ".join(rng.sample(words, len(words)))) for i in range(40)], "doc_id bigint, text string")
+    model = filters.unigram_model(docs.where("doc_id = 0"))
+    # one bag of words, so one value to the last bit, by either way of meeting the model
+    values = {r.ppl for hot, limit in ((10, 10_000), (50, 0), (0, 0)) for r in filters.perplexity(docs, model, hot, limit).collect()}
+    assert len(values) == 1
+
+
 def test_substring_dedup_cuts_the_text(spark):
     shared = " ".join(f"s{i}" for i in range(60))
     docs = spark.createDataFrame([(1, f"one\n{shared} end"), (2, f"  two {shared}\n\nlast  "), (3, "short"), (4, None), (5, f"{shared} {shared}")], "doc_id bigint, text string")
