@@ -84,6 +84,16 @@ def test_text(spark, f, given, wanted):
     assert one(spark, given, f) == wanted
 
 
+def test_book_of_many_lines(spark):
+    import time
+
+    lines = ["Title", *[f"line {i}" + "." * (i % 3 == 0) for i in range(30_000)], "Last"]
+    began, got = time.time(), one(spark, "\n".join(lines), T.book_unwrap)
+    assert got == "".join(x + "\n" * (x.endswith(".") or y[0].isupper()) for x, y in zip(lines[1:], lines[2:])) + "Last"
+    # splitting the text again for each line took minutes
+    assert time.time() - began < 20
+
+
 def test_bankers_rounding(spark):
     df = spark.createDataFrame([(2.5,), (2.51,), (3.5,)], "x double")
     assert [r.x for r in df.where(F.bround("x", 0) >= 3).collect()] == [2.51, 3.5]
