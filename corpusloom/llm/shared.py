@@ -8,24 +8,13 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.shared import fresh_path, shared_dir, stored
+from ..sources.shared import ARROW_BYTES, bound_batches, fresh_path, shared_dir, stored
 
-__all__ = ["bound_batches", "freed_shuffles", "fresh_path", "removed", "shared_dir", "stored", "table", "with_sized_broadcast"]
+__all__ = ["ARROW_BYTES", "bound_batches", "freed_shuffles", "fresh_path", "removed", "shared_dir", "stored", "table", "with_sized_broadcast"]
 
 #: A side of a join is broadcast up to this many rows of a few bytes; beyond it the join shuffles.
 BROADCAST_ROWS = 2_000_000
 
-#: Bytes of the Arrow batches that texts travel in. The JVM and the Python worker hold such a batch several times over.
-ARROW_BYTES = 8 << 20
-
-
-def bound_batches(spark: SparkSession) -> None:
-    """Set the session's bound on Arrow batches to ``ARROW_BYTES``, unless the session has a bound of its own."""
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if key not in spark.conf.getAll:
-        spark.conf.set(key, str(ARROW_BYTES))
-
-
 @contextmanager
 def freed_shuffles(spark: SparkSession) -> Iterator[None]:
     """Shuffle files of the queries that run inside go when their query ends, not when the driver collects its garbage."""

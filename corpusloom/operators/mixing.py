@@ -5,11 +5,15 @@ from __future__ import annotations
 import base64
 import functools
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..sources.shared import bound_batches, stored
 from .ordering import with_row_number, with_running_total
 
 BOS, EOS, FIRST_ID = 1, 2, 16
@@ -18,7 +22,14 @@ GPT2_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|
 
 def word_ids(text: Column, vocabulary: int = 49_152) -> Column:
     """A stand-in tokeniser: an id from each word's MD5, the same in any engine."""
-    return F.transform(T.words(text), lambda w: (F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("bigint") % F.lit(vocabulary - FIRST_ID) + FIRST_ID).cast("int"))
+
+    @F.arrow_udf("array<int>")
+    def ids(words: pa.Array) -> pa.Array:
+        none, flat = words.is_null(), pa.array((T.md5_numbers(words.flatten()) % (vocabulary - FIRST_ID) + FIRST_ID).astype(np.int32))
+        ends = np.cumsum(pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False))
+        return pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), flat, mask=none)
+
+    return ids(T.words(text))
 
 
 def bpe_ids(path: str, pattern: str = GPT2_PATTERN):
@@ -27,7 +38,7 @@ def bpe_ids(path: str, pattern: str = GPT2_PATTERN):
     @F.pandas_udf("array<int>")
     def ids(texts: pd.Series) -> pd.Series:
         t = _encoding(path, pattern)
-        return texts.map(lambda x: None if x is None else t.encode_ordinary(x))
+        return texts.map(lambda x: None if x is None else np.array(t.encode_ordinary(x), np.int32))
 
     return ids
 
@@ -45,6 +56,7 @@ def tokenize(docs: DataFrame, bos: int = BOS, eos: int = EOS, ids=word_ids, carr
     """``doc_id, input_ids`` between the two marks. Documents that are tokenised already are an error."""
     if "input_ids" in docs.columns:
         raise ValueError("the documents have input_ids already")
+    bound_batches(docs.sparkSession)
     return docs.select(*carry, "doc_id", F.concat(F.array(F.lit(bos)), ids(F.col("text")), F.array(F.lit(eos))).alias("input_ids"))
 
 
@@ -54,7 +66,8 @@ def pack(tokens: DataFrame, block: int = 2049, drop_last: bool = True) -> DataFr
     A document's place comes from a bucketed running sum; it is cut into pieces at the block borders where it lies, so
     the shuffle moves pieces, not single tokens.
     """
-    placed = with_running_total(tokens.select("doc_id", "input_ids"), "doc_id", "at", F.size("input_ids"))
+    # written, as they are needed for their sizes and again for their places
+    placed = with_running_total(stored(tokens.select("doc_id", "input_ids"), "tokens"), "doc_id", "at", F.size("input_ids"))
     n = F.size("input_ids")
     spans = placed.where(n > 0).select("input_ids", "at", F.explode(F.sequence(F.expr(f"at div {block}"), F.expr(f"(at + size(input_ids) - 1) div {block}"))).alias("block_id"))
     start = F.greatest(F.col("block_id") * block - F.col("at"), F.lit(0))
