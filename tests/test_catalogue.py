@@ -255,6 +255,66 @@ def test_substring_dedup_cuts_the_text(spark):
     assert got[2] == ("  two\n\nlast", 62, 2, False) and got[4] == (None, 0, 0, False) and got[5] == ("", 120, 0, False)
 
 
+def test_spans_against_brute_force(spark):
+    rng, k = random.Random(9), 20
+    docs = [(i, " ".join(rng.choice("ab" if i % 3 else "abcdefgh") for _ in range(rng.randrange(0, 90)))) for i in range(60)]
+    docs += [(100 + i, t) for i, (_, t) in enumerate(docs[:9])] + [(200, "x " * 70), (201, "y " + docs[0][1] + " z"), (202, None), (203, "")]
+    seen, gone = set(), {}
+    for i, t in sorted(docs):
+        w = (t or "").split()
+        for p in range(len(w) - k + 1):
+            g = tuple(w[p : p + k])
+            if g in seen:
+                gone.setdefault(i, set()).update(range(p, p + k))
+            seen.add(g)
+    got = {}
+    for r in dedup.repeated_spans(spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3), k).collect():
+        got.setdefault(r.doc_id, set()).update(range(r.start, r.stop))
+    assert got == gone
+
+
+def test_few_anchors_for_all_windows():
+    import numpy as np
+
+    h = np.random.default_rng(1).integers(0, 1 << 63, 20_000).astype(np.uint64)
+    h[9000:9100] = h[100:200]
+    v, start, stop = dedup.anchors(h, 50, 16)
+    assert (start[0], stop[-1]) == (0, 20_000 - 49) and (start[1:] == stop[:-1]).all() and len(v) < 20_000 / 15
+    of = np.repeat(v, stop - start)
+    assert (of[9000:9051] == of[100:151]).all()
+    v, counts = np.unique(v, return_counts=True)
+    assert set(of[9000:9051]) == set(v[counts > 1])
+
+
+@pytest.mark.parametrize("f", [mixing.tokenize, dedup.minhash, dedup.repeated_spans])
+def test_texts_travel_in_bounded_batches(spark, f):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(key)
+    f(spark.createDataFrame([(1, "a b")], "doc_id bigint, text string"))
+    assert spark.conf.get(key) == str(shared.ARROW_BYTES)
+
+
+def test_packing_takes_each_text_apart_once(spark):
+    import pandas as pd
+
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.pandas_udf("array<int>")
+    def ids(texts: pd.Series) -> pd.Series:
+        seen.add(len(texts))
+        return texts.map(lambda x: [len(w) for w in x.split()])
+
+    docs = spark.createDataFrame([(i, "a bb ccc") for i in range(50)], "doc_id bigint, text string")
+    assert mixing.pack(mixing.tokenize(docs, ids=ids), 10).count() == 25
+    assert seen.value == 50
+
+
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
+def test_vocabulary_is_counted_once(spark):
+    # the one that is left takes the counted tokens apart
+    assert QUERIES["vocab_lang"](spark, DATA)._jdf.queryExecution().optimizedPlan().toString().count("Generate") == 1
+
+
 def test_files_and_resources(spark, tmp_path):
     path = str(tmp_path / "r.json")
     assert files.load_resource(path, {}) == {}
