@@ -5,13 +5,14 @@ from __future__ import annotations
 import re
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..sources.shared import BROADCAST_ROWS, sized, stored
-from .dedup import rolling_hashes
+from ..sources.shared import BROADCAST_ROWS, bound_batches, sized, stored
+from .dedup import powers
 
 GOPHER_STOP_WORDS = ("the", "be", "to", "of", "and", "that", "have", "with")
 POLICY_PHRASES = ("terms of use", "privacy policy", "cookie policy", "uses cookies", "use of cookies", "use cookies")
@@ -44,44 +45,54 @@ def line_repetition(docs: DataFrame) -> DataFrame:
 
 
 def ngram_measures(top: tuple[int, ...], dup: tuple[int, ...]):
-    """A vectorised function of the hashes and lengths of a word list: for each n in ``top`` the characters in the most
-    frequent n-gram (the longest of equals; 0 if none repeats), for each n in ``dup`` the characters of the words that
-    repeated n-grams cover. N-grams are compared by a rolling 64-bit hash.
+    """A vectorised function of word lists: for each n in ``top`` the characters in the most frequent n-gram (the longest
+    of equals; 0 if none repeats), for each n in ``dup`` the characters of the words that repeated n-grams cover, and
+    ``chars``, those of all words. N-grams are compared by a rolling 64-bit hash.
 
     Nine sizes of n-grams by explode and groupBy would shuffle nine times the corpus; a document's n-grams never leave
-    its row here.
+    its row here. A longer n-gram can repeat only where a shorter one does, so each size looks at what the last one left.
     """
-    fields = ", ".join([f"top_{n}: bigint" for n in top] + [f"dup_{n}: bigint" for n in dup])
+    names = [f"top_{n}" for n in top] + [f"dup_{n}" for n in dup] + ["chars"]
     base = 0xD6E8FEB86659FD93
 
-    def of(h, size) -> list[int]:
-        h, size = np.asarray(h, np.int64).view(np.uint64), np.asarray(size, np.int64)
+    def of(h: np.ndarray, size: np.ndarray, up: np.ndarray, down: np.ndarray) -> dict[str, int]:
         before = np.append(0, np.cumsum(size))
-        row = []
-        for n in top + dup:
-            if len(h) <= n:
-                row.append(0)
-                continue
-            grams = rolling_hashes(h, n, base)
-            order = np.argsort(grams, kind="stable")
-            new = np.append(True, grams[order][1:] != grams[order][:-1])
-            start = np.flatnonzero(new)
+        sums = np.append(np.uint64(0), np.cumsum(h * up[: len(h)]))
+        row, at = {"chars": int(before[-1])}, np.arange(len(h))
+        for n in sorted({*top, *dup}):
+            at = at[: np.searchsorted(at, len(h) - n, "right")]
+            if len(at) < 2:
+                break
+            grams = (sums[at + n] - sums[at]) * down[at]
+            order = np.argsort(grams)
+            grams = grams[order]
+            start = np.flatnonzero(np.append(True, grams[1:] != grams[:-1]))
             counts = np.diff(np.append(start, len(grams)))
-            most = counts.max()
+            most = int(counts.max())
             if most < 2:
-                row.append(0)
-            elif n in top:
-                at = order[start[counts == most]]
-                row.append(int(most * (before[at + n] - before[at]).max() + most * (n - 1)))
-            else:
-                again = order[np.repeat(counts > 1, counts)]
-                edge = np.bincount(again, minlength=len(h) + 1) - np.bincount(again + n, minlength=len(h) + 1)
-                row.append(int(size[np.cumsum(edge)[:-1] > 0].sum()))
+                break
+            if n in top:
+                first = at[order[start[counts == most]]]
+                row[f"top_{n}"] = most * int((before[first + n] - before[first]).max()) + most * (n - 1)
+            at = np.sort(at[order[np.repeat(counts > 1, counts)]])
+            if n in dup:
+                edge = np.bincount(at, minlength=len(h) + 1) - np.bincount(at + n, minlength=len(h) + 1)
+                row[f"dup_{n}"] = int(size[np.cumsum(edge)[:-1] > 0].sum())
         return row
 
-    @F.pandas_udf(f"struct<{fields}>")
-    def measures(hashes: pd.Series, sizes: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([of(h, size) for h, size in zip(hashes, sizes)], columns=[f"top_{n}" for n in top] + [f"dup_{n}" for n in dup])
+    @F.arrow_udf(f"struct<{', '.join(f'{n}: bigint' for n in names)}>")
+    def measures(words: pa.Array) -> pa.Array:
+        ends = np.append(0, np.cumsum(pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False).astype(np.int64)))
+        d = words.flatten().dictionary_encode()
+        code, length = d.indices.to_numpy(), pc.utf8_length(d.dictionary).to_numpy().astype(np.int64)
+        # a number for each word of the batch, mixed
+        number = np.arange(1, len(length) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        number = (number ^ (number >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        number = (number ^ (number >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        number ^= number >> np.uint64(31)
+        up, down = powers(int(np.diff(ends).max(initial=0)) + 1, base)
+        rows = [of(number[c], length[c], up, down) for c in (code[a:b] for a, b in zip(ends, ends[1:]))]
+        return pa.StructArray.from_arrays([pa.array([r.get(n, 0) for r in rows], pa.int64()) for n in names], names)
 
     return measures
 
@@ -89,11 +100,12 @@ def ngram_measures(top: tuple[int, ...], dup: tuple[int, ...]):
 def gopher_repetition(docs: DataFrame, carry: tuple[str, ...] = (), top: tuple = ((2, 0.2), (3, 0.18), (4, 0.16)), dup: tuple = ((5, 0.15), (6, 0.14), (7, 0.13), (8, 0.12), (9, 0.11), (10, 0.1))) -> DataFrame:
     """All repetition measures and ``keep``, in one narrow pass. Here and below, ``carry`` names columns that stay."""
     rows = docs.select("doc_id", *carry, F.length("text").alias("n"), T.lines(F.col("text")).alias("l"), T.paragraphs(F.col("text")).alias("p"), T.words(F.coalesce("text", F.lit(""))).alias("w"))
-    rows = rows.select("*", F.array_distinct("l").alias("dl"), F.array_distinct("p").alias("dp"), _chars(F.col("w")).alias("wc"), ngram_measures(tuple(n for n, _ in top), tuple(n for n, _ in dup))(F.transform("w", lambda x: F.xxhash64(x)), F.transform("w", lambda x: F.length(x))).alias("g"))
+    bound_batches(docs.sparkSession)
+    rows = rows.select("*", F.array_distinct("l").alias("dl"), F.array_distinct("p").alias("dp"), ngram_measures(tuple(n for n, _ in top), tuple(n for n, _ in dup))("w").alias("g"))
     out = rows.select(
         "doc_id", *carry, *_line_measures(),
         *[share(F.col(f"g.top_{n}"), F.col("n")).alias(f"top_{n}") for n, _ in top],
-        *[share(F.col(f"g.dup_{n}"), F.col("wc")).alias(f"dup_{n}") for n, _ in dup],
+        *[share(F.col(f"g.dup_{n}"), F.col("g.chars")).alias(f"dup_{n}") for n, _ in dup],
     )
     bad = (F.col("dup_line_frac") > 0.3) | (F.col("dup_para_frac") > 0.3) | (F.col("dup_line_char_frac") > 0.2) | (F.col("dup_para_char_frac") > 0.2)
     for name, limit in [(f"top_{n}", x) for n, x in top] + [(f"dup_{n}", x) for n, x in dup]:

@@ -203,6 +203,21 @@ def test_repetition_against_counting(spark):
             assert got[i][f"dup_{n}"] == (round(sum(len(w[p]) for p in covered) / chars, 6) if chars else 0)
 
 
+def test_repetition_looks_at_what_shorter_ones_left():
+    import time
+
+    import numpy as np
+    import pyarrow as pa
+
+    words = [[f"w{i}" for i in range(k, k + 400)] for k in range(4000)]
+    began = time.time()
+    got = filters.ngram_measures((2, 3, 4), (5, 6, 7, 8, 9, 10)).func(pa.array([*words, [], None, ["a", "b"] * 9])).to_pylist()
+    assert time.time() - began < 4
+    assert got[0] == {"top_2": 0, "top_3": 0, "top_4": 0} | {f"dup_{n}": 0 for n in range(5, 11)} | {"chars": sum(map(len, words[0]))}
+    assert {x["chars"] for x in got[-3:-1]} == {0} and got[-1]["dup_10"] == 18 and got[-1]["top_2"] == 27
+    assert np.sum([x["dup_5"] for x in got]) == 18
+
+
 def test_normalizers(spark):
     rows = spark.createDataFrame([("a1", "T", '{"author": "X", "year": "1900"}', "Title\nthe cat\nsat.\nNext"), ("a2", None, "no json", None)], normalizers.SOURCES["gutenberg_en"].schema)
     got = {r.metadata["dataset_generated_id"]: r for r in normalizers.normalize(rows, "gutenberg_en").collect()}
